@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclake.plans import change_queries, rule_queries
+from civiclake.plans import change_queries, mart_queries, rule_queries
 from civiclake.plans.views import with_views
 
-_MODULES = (change_queries, rule_queries)
+_MODULES = (change_queries, rule_queries, mart_queries)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
