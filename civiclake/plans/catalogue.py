@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclake.plans import change_queries, mart_queries, rule_queries
+from civiclake.plans import (
+    change_queries,
+    mart_queries,
+    quality_queries,
+    release_queries,
+    rule_queries,
+)
 from civiclake.plans.views import with_views
 
-_MODULES = (change_queries, rule_queries, mart_queries)
+_MODULES = (change_queries, rule_queries, mart_queries, release_queries, quality_queries)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
