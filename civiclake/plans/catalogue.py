@@ -8,14 +8,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from civiclake.plans import (
     change_queries,
+    layout_queries,
     mart_queries,
     quality_queries,
     release_queries,
     rule_queries,
+    source_queries,
 )
 from civiclake.plans.views import with_views
 
-_MODULES = (change_queries, rule_queries, mart_queries, release_queries, quality_queries)
+_MODULES = (
+    change_queries,
+    rule_queries,
+    mart_queries,
+    release_queries,
+    quality_queries,
+    source_queries,
+    layout_queries,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
