@@ -19,6 +19,7 @@ SEPARATOR = "|"
 REASONS = "reject_reasons"
 ALERTS = "alerts"
 RAW_ROW = "raw_row"
+ACCEPTED = "accepted"
 
 
 @dataclass(frozen=True)
@@ -142,22 +143,24 @@ def joined_labels(rules: Sequence[tuple[str, Column]]) -> Column:
 
 
 def label_array(labels: Column) -> Column:
-    empty = F.array().cast("array<string>")
-    return F.when(labels == "", empty).otherwise(F.split(labels, r"\|"))
+    """Joined labels as an array; the empty text gives the empty array."""
+    return F.array_remove(F.split(labels, r"\|"), "")
 
 
 def final_value(f: Field) -> Column:
     """Undocumented and not-applicable values become NULL, codes become small."""
     value = F.col(f.target)
     if f.listed:
-        value = F.when(value.isin(*f.listed), value)
-    if f.not_applicable:
+        value = F.when(value.isin(*[v for v in f.listed if v not in f.not_applicable]), value)
+    elif f.not_applicable:
         value = F.when(~value.isin(*f.not_applicable), value)
     return (value.cast("smallint") if f.kind == "code" else value).alias(f.target)
 
 
 def validate(df: DataFrame, book: Rulebook) -> DataFrame:
-    extra = [RAW_ROW] if RAW_ROW in df.columns else []
+    reasons = joined_labels(reject_rules(book))
+    # The untouched row is kept for rejected rows only.
+    extra = [F.when(reasons != "", F.col(RAW_ROW)).alias(RAW_ROW)] if RAW_ROW in df.columns else []
     return df.select(
         *book.keep,
         *[final_value(f) for f in book.fields],
@@ -165,25 +168,50 @@ def validate(df: DataFrame, book: Rulebook) -> DataFrame:
         book.flag,
         *[F.expr(sql).alias(name) for name, sql in book.derived.items()],
         label_array(joined_labels(alert_rules(book))).alias(ALERTS),
-        joined_labels(reject_rules(book)).alias(REASONS),
+        reasons.alias(REASONS),
         *extra,
     )
 
 
 def type_register(df: DataFrame, book: Rulebook, with_raw: bool = False) -> DataFrame:
-    """Raw text rows to typed rows with alerts and reject reasons (empty text = valid)."""
+    """Raw text rows to typed rows with alerts and reject reasons (empty text = valid).
+
+    Do not filter the result by its reasons: Spark would push the filter below the three
+    stages and compute every value twice. Use `split_register`, which splits by writing.
+    """
     cleaned = df.transform(clean, book, with_raw)
     return cleaned.transform(apply_types, book).transform(validate, book)
 
 
-def valid_rows(df: DataFrame, book: Rulebook) -> DataFrame:
-    return type_register(df, book).where(F.col(REASONS) == "").drop(REASONS)
+def split_register(
+    df: DataFrame, book: Rulebook, root: str, partitions: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """Type every row once, write valid and rejected rows side by side, return both scans.
+
+    The table is partitioned by `partitions` and `accepted`, so each scan opens its own
+    folders. Rejected rows have the passthrough columns, the reasons as an array and the
+    untouched row.
+    """
+    typed_rows = type_register(df, book, with_raw=True)
+    marked = typed_rows.withColumn(ACCEPTED, F.col(REASONS) == "")
+    marked.write.mode("errorifexists").partitionBy(*partitions, ACCEPTED).parquet(root)
+    stored = df.sparkSession.read.schema(marked.schema).parquet(root)
+    valid = stored.where(F.col(ACCEPTED)).drop(ACCEPTED, REASONS, RAW_ROW)
+    rejected = stored.where(~F.col(ACCEPTED)).select(
+        *book.keep, F.split(REASONS, r"\|").alias(REASONS), RAW_ROW
+    )
+    return valid, rejected
 
 
-def rejected_rows(df: DataFrame, book: Rulebook) -> DataFrame:
-    """Rejected rows: the passthrough columns, the reasons as an array and the untouched row."""
-    return (
-        type_register(df, book, with_raw=True)
-        .where(F.col(REASONS) != "")
-        .select(*book.keep, F.split(REASONS, r"\|").alias(REASONS), RAW_ROW)
+def label_counts(
+    typed_rows: DataFrame, rules: Sequence[tuple[str, Column]], by: Sequence[str]
+) -> DataFrame:
+    """Rows per rule that holds, as (by, label, n), without building label lists per row."""
+    names = [f"_n{i}" for i in range(len(rules))]
+    counts = typed_rows.groupBy(*by).agg(
+        *[F.count_if(test).alias(name) for name, (_, test) in zip(names, rules)]
+    )
+    pairs = F.array(
+        *[F.struct(F.lit(label).alias("label"), F.col(name).alias("n")) for name, (label, _) in zip(names, rules)]
     )
+    return counts.select(*by, F.inline(pairs)).where(F.col("n") > 0)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +17,7 @@ from civiclake.plans import (
     source_queries,
 )
 from civiclake.plans.views import with_views
+from civiclake.session import tune
 
 _MODULES = (
     change_queries,
@@ -27,8 +29,17 @@ _MODULES = (
     layout_queries,
 )
 
+
+def _tuned(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return query(tune(spark), folder)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 for _module in _MODULES:
-    QUERIES.update(_module.QUERIES)
+    QUERIES.update({key: _tuned(query) for key, query in _module.QUERIES.items()})
     ORACLE.update({key: with_views(sql) for key, sql in _module.ORACLE.items()})

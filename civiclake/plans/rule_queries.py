@@ -9,7 +9,9 @@ from civiclake.functions.labels import mixed_band
 from civiclake.functions.numbers import canonical_number
 from civiclake.operators import rules as R
 from civiclake.operators.rules import Field, Rulebook, text
+from civiclake.operators.quality import conservation as conserve
 from civiclake.plans import views as V
+from civiclake.sources.scratch import new_dir, stage
 
 # Fixed values of the raw view: markers, domains and bands.
 MARKERS = ("", "NA", "Exempt")
@@ -60,17 +62,22 @@ def _count(df: DataFrame, *keys) -> DataFrame:
 
 
 def clean_special(spark: SparkSession, folder: str) -> DataFrame:
+    """Values left per column after cleaning, and their total length."""
     cleaned = R.clean(V.raw(spark, folder), BOOK)
-    return cleaned.select(
-        "yr",
-        F.inline(
-            F.array(*[F.struct(F.lit(f.source).alias("field"), text(f.source).alias("v")) for f in BOOK.fields])
-        ),
-    ).groupBy("yr", "field").agg(
+    counts = cleaned.groupBy("yr").agg(
         F.count("*").alias("n_rows"),
-        F.count("v").alias("n_values"),
-        F.countDistinct("v").alias("n_distinct"),
+        *[F.count(text(f.source)).alias(f"{f.source}_n") for f in BOOK.fields],
+        *[F.sum(F.length(text(f.source))).alias(f"{f.source}_c") for f in BOOK.fields],
     )
+    per_field = [
+        F.struct(
+            F.lit(f.source).alias("field"),
+            F.col(f"{f.source}_n").alias("n_values"),
+            F.col(f"{f.source}_c").alias("n_chars"),
+        )
+        for f in BOOK.fields
+    ]
+    return counts.select("yr", "n_rows", F.inline(F.array(*per_field)))
 
 
 def any_marker_flag(spark: SparkSession, folder: str) -> DataFrame:
@@ -116,8 +123,8 @@ def reject_reasons(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def alerts(spark: SparkSession, folder: str) -> DataFrame:
-    found = R.type_register(V.raw(spark, folder), BOOK).select("yr", F.explode(R.ALERTS).alias("alert"))
-    return _count(found, "yr", "alert")
+    typed = R.apply_types(R.clean(V.raw(spark, folder), BOOK), BOOK)
+    return R.label_counts(typed, R.alert_rules(BOOK), ["yr"]).withColumnRenamed("label", "alert")
 
 
 def final_nulling(spark: SparkSession, folder: str) -> DataFrame:
@@ -130,9 +137,16 @@ def final_nulling(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The landed raw table, and its rows typed and split into valid and rejected."""
+    landed = stage(V.raw(spark, folder), "landed")
+    valid, rejected = R.split_register(landed, BOOK, new_dir(spark, "typed"), ["yr"])
+    return landed, valid, rejected
+
+
 def quarantine(spark: SparkSession, folder: str) -> DataFrame:
     """Every rejected row with its reasons and a proof that the raw row is kept."""
-    rejected = R.rejected_rows(V.raw(spark, folder), BOOK)
+    _, _, rejected = _split(spark, folder)
     return rejected.select(
         "rk",
         "rl",
@@ -145,7 +159,8 @@ def quarantine(spark: SparkSession, folder: str) -> DataFrame:
 
 def silver_table(spark: SparkSession, folder: str) -> DataFrame:
     """The typed table itself: every valid row."""
-    return R.valid_rows(V.raw(spark, folder), BOOK).select(
+    _, valid, _ = _split(spark, folder)
+    return valid.select(
         "rk",
         "rl",
         "pk",
@@ -168,10 +183,8 @@ def silver_table(spark: SparkSession, folder: str) -> DataFrame:
 
 def conservation(spark: SparkSession, folder: str) -> DataFrame:
     """Per year: raw rows = valid + rejected; rejected must be zero for a clean source."""
-    from civiclake.operators.quality import conservation as conserve
-
-    raw = V.raw(spark, folder)
-    return conserve(raw, R.valid_rows(raw, BOOK), R.rejected_rows(raw, BOOK), ["yr"])
+    landed, valid, rejected = _split(spark, folder)
+    return conserve(landed, valid, rejected, ["yr"])
 
 
 QUERIES = {
@@ -248,7 +261,7 @@ ORACLE = {
     "clean_special": f"WITH {_CLEAN} "
     + " UNION ALL ".join(
         f"SELECT yr, '{c}' AS field, count(*) AS n_rows, count({c}) AS n_values, "
-        f"count(DISTINCT {c}) AS n_distinct FROM cleaned GROUP BY yr"
+        f"cast(sum(length({c})) AS bigint) AS n_chars FROM cleaned GROUP BY yr"
         for c in _FIELDS
     ),
     "any_marker_flag": f"WITH {_CLEAN} SELECT yr, any_exempt, count(*) AS n FROM cleaned GROUP BY yr, any_exempt",
