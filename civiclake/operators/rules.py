@@ -48,6 +48,8 @@ class Rulebook:
     """Everything that is specific to one register.
 
     markers: texts meaning "no value" in every column; flagged: those that set `flag`.
+    keep: columns carried through; context: columns that only the rules look at;
+    also_flagged: further columns searched for flagged markers.
     rejects and alerts: (label, SQL condition) over cleaned text (`<source>__text`), typed
     columns and passthrough columns. bands: target -> (source, function from the cleaned text
     to a band). derived: further result columns as SQL over typed columns.
@@ -58,6 +60,8 @@ class Rulebook:
     flagged: tuple[str, ...] = ()
     flag: str = "any_marker"
     keep: tuple[str, ...] = ()
+    context: tuple[str, ...] = ()
+    also_flagged: tuple[str, ...] = ()
     bands: Mapping[str, tuple[str, Callable[[Column], Column]]] = field(default_factory=dict)
     rejects: tuple[tuple[str, str], ...] = ()
     alerts: tuple[tuple[str, str], ...] = ()
@@ -86,9 +90,10 @@ def clean(df: DataFrame, book: Rulebook, with_raw: bool = False) -> DataFrame:
         clean_column(f.source, (*book.markers, *f.markers)).alias(f"{f.source}__text")
         for f in book.fields
     ]
-    marked = {f.source: (*book.flagged, *f.markers) for f in book.fields}
+    marked = {c: book.flagged for c in book.also_flagged}
+    marked |= {f.source: (*book.flagged, *f.markers) for f in book.fields}
     extra = [F.struct(*df.columns).alias(RAW_ROW)] if with_raw else []
-    return df.select(*book.keep, *columns, any_flag(marked).alias(book.flag), *extra)
+    return df.select(*book.keep, *book.context, *columns, any_flag(marked).alias(book.flag), *extra)
 
 
 def typed(value: Column, kind: str) -> Column:
