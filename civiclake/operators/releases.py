@@ -9,12 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civiclake.operators.ranking import latest_per_key
-from civiclake.sources.scratch import stage_sized
+from civiclake.sources.scratch import stage
+
+#: Registry entries up to which a choice of releases is written into the scan as a predicate.
+LISTED_PAIRS = 1000
 
 
 class UnknownRelease(ValueError):
@@ -53,11 +57,17 @@ def visible_on_days(registry: DataFrame, period: str, days: Sequence[date]) -> D
 def read_releases(table: DataFrame, chosen: DataFrame, period: str) -> DataFrame:
     """Rows of the chosen (period, release) pairs.
 
-    The pairs are staged and counted: a small list is broadcast, which also prunes partitions
-    of a table stored by (period, release); a long one is joined by shuffle.
+    The pairs are registry entries. They are staged and counted: a short list becomes a
+    predicate, so that the scan of a table stored by (period, release) opens only these
+    partitions; a long one is joined by its measured size.
     """
-    pairs, _ = stage_sized(chosen.select(period, "release"), "chosen-releases")
-    return table.join(pairs, [period, "release"], "left_semi")
+    pairs = stage(chosen.select(period, "release").distinct(), "chosen-releases")
+    if pairs.count() > LISTED_PAIRS:
+        return table.join(pairs, [period, "release"], "left_semi")
+    wanted = [
+        (F.col(period) == F.lit(p)) & (F.col("release") == F.lit(r)) for p, r in pairs.collect()
+    ]
+    return table.where(reduce(lambda a, b: a | b, wanted, F.lit(False)))
 
 
 def current(table: DataFrame, registry: DataFrame, period: str) -> DataFrame:
