@@ -63,7 +63,7 @@ def read_releases(table: DataFrame, chosen: DataFrame, period: str) -> DataFrame
     """
     pairs = stage(chosen.select(period, "release").distinct(), "chosen-releases")
     if pairs.count() > LISTED_PAIRS:
-        return table.join(pairs, [period, "release"], "left_semi")
+        return table.join(pairs, [period, "release"], "left_semi").select(*table.columns)
     wanted = [
         (F.col(period) == F.lit(p)) & (F.col("release") == F.lit(r)) for p, r in pairs.collect()
     ]
