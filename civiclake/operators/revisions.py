@@ -15,8 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civiclake.functions.fingerprint import field_hash, row_fingerprint
-from civiclake.sources.scratch import BROADCAST_ROWS, stage
+from civiclake.sources.scratch import stage
 
+#: Changed keys that may be broadcast: about 100 bytes each in memory, 200 MB at most.
+BROADCAST_ROWS = 2_000_000
+#: Copies from which one row is kept out of shuffles by its key. A table of N rows has at most
+#: N / HOT_COPIES such rows.
+HOT_COPIES = 1_000_000
 #: Copies one generated row may stand for before the copies are spread over the cluster.
 COPIES_PER_ROW = 10_000
 
@@ -102,31 +107,56 @@ def changed_only(diff: DataFrame) -> DataFrame:
 
 
 def weighted_changes(
-    before: DataFrame, after: DataFrame, columns: Sequence[str], by: Sequence[str] = ()
+    before: DataFrame,
+    after: DataFrame,
+    columns: Sequence[str],
+    by: Sequence[str] = (),
+    diff: DataFrame | None = None,
 ) -> DataFrame:
     """Each distinct changed row once, with its weights `entered` and `left`.
 
-    The difference is found on fingerprints, staged, and used to pick the full rows: only
-    the changed ones are shuffled at full width when the staged keys are few enough to be
-    broadcast. Beyond that both sides are first reduced to distinct rows, so that copies of
-    one row never meet in one join task.
+    The difference is found on fingerprints (or given as `diff`, of the same rows), and picks
+    the full rows. Only changed rows are needed at full width:
+
+    - few changed keys are broadcast, so other rows are dropped where they are read;
+    - many are joined by shuffle. Rows with very many copies, changed or not, would all meet
+      in one task there, so they are taken out first: there cannot be many of them.
     """
     kept = list(dict.fromkeys([*by, *columns]))
-    keys = changed_only(multiset_diff(before, after, columns, by)).select(
-        *_KEYS, *by, "entered", "left"
+    if diff is None:
+        diff = multiset_diff(before, after, columns, by)
+    hot_key = F.col("n_before") + F.col("n_after") > HOT_COPIES
+    changed_key = (F.col("entered") > 0) | (F.col("left") > 0)
+    keys = diff.where(hot_key | changed_key).select(
+        *[F.col(c).alias(f"_k_{c}") for c in (*_KEYS, *by)], "entered", "left", hot_key.alias("_hot")
     )
     keys = stage(keys, "changed-keys")
-    small = keys.count() <= BROADCAST_ROWS
+    changed, hot = keys.where(changed_key), keys.where("_hot")
     rows = before.select(*kept).unionByName(after.select(*kept))
     rows = rows.select(*kept, *row_fingerprint(columns))
-    same = reduce(
+
+    # The staged keys get their own names, so both sides can be spoken of by name.
+    same_row = reduce(
         lambda a, b: a & b,
-        [rows[c] == keys[c] for c in _KEYS] + [rows[c].eqNullSafe(keys[c]) for c in by],
+        [F.col(c) == F.col(f"_k_{c}") for c in _KEYS]
+        + [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in by],
+    )
+
+    def pick(source: DataFrame, side: DataFrame) -> DataFrame:
+        return source.join(side, same_row).select(*kept, "entered", "left").distinct()
+
+    if changed.count() <= BROADCAST_ROWS:
+        return pick(rows, F.broadcast(changed))
+    n_hot = hot.count()
+    if n_hot == 0:
+        return pick(rows, changed)
+    if n_hot > BROADCAST_ROWS:
+        return pick(rows.distinct(), changed)
+    hot = F.broadcast(hot)
+    usual = rows.join(hot, same_row, "left_anti")
+    return pick(usual, changed.where("NOT _hot")).unionByName(
+        pick(rows, F.broadcast(keys.where(changed_key & F.col("_hot"))))
     )
-    side = F.broadcast(keys) if small else keys
-    source = rows if small else rows.distinct()
-    found = source.join(side, same).select(*[rows[c] for c in kept], "entered", "left")
-    return found.distinct()
 
 
 def repeat_rows(df: DataFrame, times: str) -> DataFrame:

@@ -210,7 +210,7 @@ def sample_stratified(spark: SparkSession, folder: str) -> DataFrame:
     draw = F.expr("pmod(pmod(app_id, 1000003) * 2654435761, 1000000)")
     sample = sample_rows(V.apps(spark, folder), 0.1, draw).select("yr", "app_id", "outcome")
     path = new_dir(spark, "sample")
-    P.write_single_file(sample, path)
+    P.write_extract(sample, path)
     return spark.read.schema(sample.schema).parquet(path)
 
 

@@ -198,7 +198,8 @@ def compare_releases(
         "summary": R.pair_summary(diff),
     }
     if fields:
-        results["fields"] = R.attribute_fields(R.weighted_changes(before, after, COMPARED), COMPARED)
+        changes = R.weighted_changes(before, after, COMPARED, diff=diff)
+        results["fields"] = R.attribute_fields(changes, COMPARED)
     for name, df in results.items():
         P.replace_partition(df, lake.path(f"revisions/{name}"), partition)
     if proof_state is not None:
@@ -225,7 +226,7 @@ def run_checks(
     official: (year, state_code, action_taken, n), the published counts; a year without them
     fails. lender_counts: (year, lei, n), checked for the years they cover.
     """
-    table = stage(lake.current(), "current")
+    table = lake.current()
     chosen = V.most_mature(lake.registry(), "year")
     periods = table.select("year").distinct()
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from civiclake.sources.landing import LoadRefused
-from civiclake.sources.scratch import new_dir
+from civiclake.sources.scratch import new_dir, stage
 
 
 def partition_dir(root: str, partition: Mapping[str, object]) -> str:
@@ -69,9 +69,16 @@ def append_log(records: DataFrame, path: str) -> None:
     records.write.mode("append").parquet(path)
 
 
-def write_single_file(df: DataFrame, path: str) -> None:
-    """A small extract as one file. Only for samples and aggregates meant to be carried away."""
-    df.coalesce(1).write.mode("errorifexists").parquet(path)
+def write_extract(df: DataFrame, path: str, rows_per_file: int = 5_000_000) -> None:
+    """An extract to carry away: one file when it fits, otherwise files of bounded size.
+
+    The rows are staged and counted first, so a large extract never goes through one task.
+    """
+    staged = stage(df, "extract")
+    if staged.count() <= rows_per_file:
+        staged = staged.coalesce(1)
+    out = staged.write.mode("errorifexists").option("maxRecordsPerFile", rows_per_file)
+    out.parquet(path)
 
 
 def balanced(df: DataFrame, *columns: str) -> DataFrame:

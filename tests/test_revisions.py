@@ -72,12 +72,14 @@ def _random_rows(seed, n):
     return hot + [(rng.choice("abc"), str(rng.randint(1, 4)), rng.choice([None, "1", "2"])) for _ in range(n - len(hot))]
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_changed_rows_equal_the_bag_difference(spark, monkeypatch, small):
-    """Also where the changed keys may not be broadcast and hot rows are cut into chunks."""
-    if not small:
-        monkeypatch.setattr(R, "BROADCAST_ROWS", 0)
-        monkeypatch.setattr(R, "COPIES_PER_ROW", 7)
+@pytest.mark.parametrize(
+    "broadcast, hot", [(2_000_000, 1_000_000), (0, 1_000_000), (4, 90), (0, 90), (10, 13)]
+)
+def test_changed_rows_equal_the_bag_difference(spark, monkeypatch, broadcast, hot):
+    """Broadcast keys; shuffled keys without, with few and with too many hot rows."""
+    monkeypatch.setattr(R, "BROADCAST_ROWS", broadcast)
+    monkeypatch.setattr(R, "HOT_COPIES", hot)
+    monkeypatch.setattr(R, "COPIES_PER_ROW", 7)
     a, b = _random_rows(1, 300), _random_rows(2, 120)
     before, after = _release(spark, a), _release(spark, b)
     cols = ["lei", "income", "amount"]

@@ -121,6 +121,15 @@ def test_sample_does_not_depend_on_the_layout(spark):
     assert S.public_columns(apps.withColumn("_raw", F.lit(1))).columns == ["app_id", "yr", "outcome"]
 
 
+def test_extract_is_one_file_only_when_it_fits(spark, tmp_path):
+    df = spark.range(0, 100, 1, 8)
+    P.write_extract(df, str(tmp_path / "one"))
+    P.write_extract(df, str(tmp_path / "many"), rows_per_file=30)
+    assert len(list((tmp_path / "one").glob("*.parquet"))) == 1
+    assert len(list((tmp_path / "many").glob("*.parquet"))) > 3
+    assert spark.read.parquet(str(tmp_path / "many")).count() == 100
+
+
 def test_export_is_plain_json(spark, tmp_path):
     df = spark.sql("SELECT cast(1.50 AS decimal(18,2)) AS d, 1/3D AS x, DATE'2024-01-02' AS day, cast(NULL AS int) AS n")
     X.write_sections({"one": df}, str(tmp_path))
