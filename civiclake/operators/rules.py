@@ -20,6 +20,7 @@ REASONS = "reject_reasons"
 ALERTS = "alerts"
 RAW_ROW = "raw_row"
 ACCEPTED = "accepted"
+_RAW = "__raw"
 
 
 @dataclass(frozen=True)
@@ -92,7 +93,7 @@ def clean(df: DataFrame, book: Rulebook, with_raw: bool = False) -> DataFrame:
     ]
     marked = {c: book.flagged for c in book.also_flagged}
     marked |= {f.source: (*book.flagged, *f.markers) for f in book.fields}
-    extra = [F.struct(*df.columns).alias(RAW_ROW)] if with_raw else []
+    extra = [F.col(c).alias(f"{c}{_RAW}") for c in df.columns] if with_raw else []
     return df.select(*book.keep, *book.context, *columns, any_flag(marked).alias(book.flag), *extra)
 
 
@@ -164,8 +165,9 @@ def final_value(f: Field) -> Column:
 
 def validate(df: DataFrame, book: Rulebook) -> DataFrame:
     reasons = joined_labels(reject_rules(book))
-    # The untouched row is kept for rejected rows only.
-    extra = [F.when(reasons != "", F.col(RAW_ROW)).alias(RAW_ROW)] if RAW_ROW in df.columns else []
+    # The untouched row is put together for rejected rows only.
+    raw = [F.col(c).alias(c.removesuffix(_RAW)) for c in df.columns if c.endswith(_RAW)]
+    extra = [F.when(reasons != "", F.struct(*raw)).alias(RAW_ROW)] if raw else []
     return df.select(
         *book.keep,
         *[final_value(f) for f in book.fields],
