@@ -12,6 +12,7 @@ from civiclake.plans import (
     layout_queries,
     mart_queries,
     quality_queries,
+    register_queries,
     release_queries,
     rule_queries,
     source_queries,
@@ -27,6 +28,7 @@ _MODULES = (
     quality_queries,
     source_queries,
     layout_queries,
+    register_queries,
 )
 
 
