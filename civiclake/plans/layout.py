@@ -90,18 +90,25 @@ def overlapping(ranges: DataFrame, value: object) -> DataFrame:
     )
 
 
-def cluster_experiment(df: DataFrame, column: str, value: object, files: int) -> DataFrame:
-    """Files a filter on `column` must open in a shuffled and in a clustered copy."""
+def cluster_experiment(
+    df: DataFrame, column: str, value: object, files: int, runs: int = 0
+) -> DataFrame:
+    """Files a filter on `column` must open in a shuffled and in a clustered copy.
+
+    With `runs`, also `seconds`, the best time of that many filtered counts.
+    """
     spark = df.sparkSession
     paths = {"shuffled": new_dir(spark, "shuffled"), "clustered": new_dir(spark, "clustered")}
     shuffled_copy(df, files, paths["shuffled"])
     clustered_copy(df, column, files, paths["clustered"])
-    parts = [
-        overlapping(file_ranges(spark.read.schema(df.schema).parquet(path), column), value).withColumn(
-            "layout", F.lit(layout)
-        )
-        for layout, path in paths.items()
-    ]
+    parts = []
+    for layout, path in paths.items():
+        copy = spark.read.schema(df.schema).parquet(path)
+        measured = overlapping(file_ranges(copy, column), value).withColumn("layout", F.lit(layout))
+        if runs:
+            filtered = copy.where(F.col(column) == F.lit(value)).agg(F.count("*"))
+            measured = measured.withColumn("seconds", F.lit(best_of(filtered, runs)))
+        parts.append(measured)
     return parts[0].unionByName(parts[1])
 
 

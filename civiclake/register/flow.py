@@ -316,7 +316,11 @@ def export(lake: Lake, target: str, metro_names: DataFrame, lender_names: DataFr
     ranked = top_per_group(moved, ["year"], [F.desc("moved"), F.asc("lei")], top)
     checks = lake.log("checks", CHECKS)
     last = checks.agg(F.max("run_at").alias("_last"))
+    about = lake.spark.range(1).select(
+        F.current_timestamp().alias("generated_at"), F.lit("public loan-application register").alias("source")
+    )
     sections = {
+        "about": about,
         "loads": lake.log("load_log", LOAD_LOG).orderBy("year", "release"),
         "releases": lake.registry().orderBy("frozen_at", "year", "maturity"),
         "checks": checks.join(F.broadcast(last), F.col("run_at") == F.col("_last"))
