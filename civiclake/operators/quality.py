@@ -134,28 +134,29 @@ def within_tolerance(
     )
 
 
+def last_run(checks: DataFrame, run: str = "run_at") -> DataFrame:
+    """The findings of the latest run in the log."""
+    return checks.where(F.col(run) == checks.agg(F.max(run)).scalar())
+
+
 def gate(checks: DataFrame, changes: DataFrame, run: str = "run_at", changed: str = "changed_at") -> DataFrame:
     """One row: may the next stage run?
 
     Refused when no check ever ran, when the last run has a failure, or when the data changed
     after the last run. `checks` has (run, passed), `changes` the times of data changes.
     """
-    last = checks.agg(F.max(run).alias("last_run"))
-    in_last = checks.join(F.broadcast(last), F.col(run) == F.col("last_run"))
+    in_last = last_run(checks, run)
     verdict = in_last.agg(
         F.max(run).alias("last_run"),
         F.count("*").alias("checks"),
         F.count_if(~F.coalesce(F.col("passed"), F.lit(False))).alias("failures"),
-    )
-    newest = changes.agg(F.max(changed).alias("last_change"))
+    ).withColumn("last_change", changes.agg(F.max(changed)).scalar())
     reason = (
         F.when(F.col("checks") == 0, "no checks have run")
         .when(F.col("failures") > 0, "the last run has failures")
         .when(F.col("last_change") > F.col("last_run"), "the data changed after the last run")
     )
-    return verdict.join(F.broadcast(newest)).select(
-        "*", reason.alias("refused_because"), reason.isNull().alias("approved")
-    )
+    return verdict.select("*", reason.alias("refused_because"), reason.isNull().alias("approved"))
 
 
 class NotApproved(RuntimeError):

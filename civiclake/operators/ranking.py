@@ -32,11 +32,5 @@ def top_in_latest(
 
     The latest period is that of the whole table, found before the filter.
     """
-    last = df.agg(F.max(period).alias("_last"))
-    return (
-        df.join(F.broadcast(last), F.col(period) == F.col("_last"))
-        .where(keep)
-        .drop("_last")
-        .orderBy(*order)
-        .limit(k)
-    )
+    last = df.agg(F.max(period)).scalar()
+    return df.where((F.col(period) == last) & keep).orderBy(*order).limit(k)

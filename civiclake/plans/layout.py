@@ -57,6 +57,11 @@ def pruning_report(spark: SparkSession, named: Mapping[str, str], partition: str
     return spark.createDataFrame(rows, kind)
 
 
+def as_many_files(stored: DataFrame, at_least: int = 8) -> int:
+    """Files for a copy of a stored table: as many as it has, so that tasks stay as small."""
+    return max(at_least, len(stored.inputFiles()))
+
+
 def shuffled_copy(df: DataFrame, files: int, path: str) -> None:
     """A copy whose files each hold every value."""
     df.repartition(files).write.mode("errorifexists").parquet(path)

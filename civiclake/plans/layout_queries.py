@@ -11,7 +11,7 @@ from civiclake.plans import layout as Y
 from civiclake.plans import views as V
 from civiclake.sources import catalog as C
 from civiclake.sources import publishing as P
-from civiclake.sources.scratch import new_dir
+from civiclake.sources.scratch import new_dir, stage
 
 
 def _table(spark: SparkSession, folder: str, logical: str) -> str:
@@ -81,24 +81,24 @@ def partition_filters(spark: SparkSession, folder: str) -> DataFrame:
 def pruning_report(spark: SparkSession, folder: str) -> DataFrame:
     """Folders read per question and whether fewer files than the whole table were opened."""
     report = Y.pruning_report(spark, _questions(_table(spark, folder, "civiclake/report")), "yr")
-    everything = report.where("query = 'no filter'").select(F.col("files").alias("_all"))
-    return report.join(F.broadcast(everything)).select(
-        "query", "folders", "has_partition_filter", (F.col("files") < F.col("_all")).alias("pruned")
+    everything = report.where("query = 'no filter'").select("files").scalar()
+    return report.select(
+        "query", "folders", "has_partition_filter", (F.col("files") < everything).alias("pruned")
     )
 
 
 def cluster_experiment(spark: SparkSession, folder: str) -> DataFrame:
     """A filter must open fewer files of the clustered copy; both hold the same rows."""
-    rows = V.apps(spark, folder).select("app_id", "yr", "nation", "outcome")
-    measured = Y.cluster_experiment(rows, "nation", "NATION_3", 8)
+    rows = stage(V.apps(spark, folder).select("app_id", "yr", "nation", "outcome"), "source")
+    measured = Y.cluster_experiment(rows, "nation", "NATION_3", Y.as_many_files(rows))
     return measured.select("layout", "n_rows", (F.col("files_overlapping") < F.col("files")).alias("skips_files"))
 
 
 def files_overlapping(spark: SparkSession, folder: str) -> DataFrame:
     """Value ranges of the files of a clustered copy: they cover all rows and rarely overlap."""
-    rows = V.apps(spark, folder).select("app_id", "yr", "purpose")
+    rows = stage(V.apps(spark, folder).select("app_id", "yr", "purpose"), "source")
     path = new_dir(spark, "clustered")
-    Y.clustered_copy(rows, "purpose", 8, path)
+    Y.clustered_copy(rows, "purpose", Y.as_many_files(rows), path)
     ranges = Y.file_ranges(spark.read.schema(rows.schema).parquet(path), "purpose")
     hit = Y.overlapping(ranges, "2-HIGH")
     return hit.select("n_rows", (F.col("files_overlapping") < F.col("files")).alias("skips_files"),

@@ -185,11 +185,10 @@ def release_impact(spark: SparkSession, folder: str) -> DataFrame:
 def choropleth_bins(spark: SparkSession, folder: str) -> DataFrame:
     """Five equal-width classes between the 2 % quantile and the maximum, one scale for all years."""
     states = _ratio_median(V.apps(spark, folder), ["yr"], (Grain("state", "nation"),))
-    bounds = exact_quantiles(states, [], {"low": F.col("ratio")}, 0.02).select("low")
-    top = states.agg(F.max("ratio").alias("high"))
-    scaled = states.join(F.broadcast(bounds)).join(F.broadcast(top))
-    width = F.width_bucket("ratio", F.col("low"), F.col("high"), F.lit(5))
-    return scaled.select(
+    low = exact_quantiles(states, [], {"low": F.col("ratio")}, 0.02).select("low").scalar()
+    high = states.agg(F.max("ratio")).scalar()
+    width = F.width_bucket(F.col("ratio"), low, high, F.lit(5))
+    return states.select(
         "yr", "place", F.round("ratio", 6).alias("ratio"), F.least(F.greatest(width, F.lit(1)), F.lit(5)).cast("long").alias("bin")
     )
 

@@ -127,10 +127,7 @@ def check_log(spark: SparkSession, folder: str) -> DataFrame:
     run = _checks(spark, folder).withColumn("run_at", F.current_timestamp())
     append_log(run, log)
     stored = spark.read.schema(run.schema).parquet(log)
-    last = stored.agg(F.max("run_at").alias("_last"))
-    return stored.join(F.broadcast(last), F.col("run_at") == F.col("_last")).select(
-        "yr", "check_name", "passed", "detail"
-    )
+    return Q.last_run(stored).select("yr", "check_name", "passed", "detail")
 
 
 def quality_gate(spark: SparkSession, folder: str) -> DataFrame:
@@ -154,13 +151,12 @@ def quality_gate(spark: SparkSession, folder: str) -> DataFrame:
 
 def run_summary(spark: SparkSession, folder: str) -> DataFrame:
     """Headline numbers: share of checks passed, rows, releases and years covered."""
-    checks = _checks(spark, folder).agg(
-        F.round(F.avg(F.col("passed").cast("double")), 6).alias("share_passed"), F.count("*").alias("checks")
-    )
+    checks = _checks(spark, folder)
+    share = checks.agg(F.round(F.avg(F.col("passed").cast("double")), 6)).scalar()
     loads = V.registry(spark, folder).agg(
         F.sum("n_rows").alias("n_rows"), F.count("*").alias("releases"), F.count_distinct("yr").alias("years")
     )
-    return loads.join(F.broadcast(checks))
+    return loads.select("*", share.alias("share_passed"), checks.agg(F.count("*")).scalar().alias("checks"))
 
 
 QUERIES = {

@@ -315,7 +315,6 @@ def export(lake: Lake, target: str, metro_names: DataFrame, lender_names: DataFr
     moved = ends.withColumn("moved", F.col("entered") + F.col("left"))
     ranked = top_per_group(moved, ["year"], [F.desc("moved"), F.asc("lei")], top)
     checks = lake.log("checks", CHECKS)
-    last = checks.agg(F.max("run_at").alias("_last"))
     about = lake.spark.range(1).select(
         F.current_timestamp().alias("generated_at"), F.lit("public loan-application register").alias("source")
     )
@@ -323,9 +322,7 @@ def export(lake: Lake, target: str, metro_names: DataFrame, lender_names: DataFr
         "about": about,
         "loads": lake.log("load_log", LOAD_LOG).orderBy("year", "release"),
         "releases": lake.registry().orderBy("frozen_at", "year", "maturity"),
-        "checks": checks.join(F.broadcast(last), F.col("run_at") == F.col("_last"))
-        .drop("_last")
-        .orderBy("year", "check_name"),
+        "checks": Q.last_run(checks).orderBy("year", "check_name"),
         "price_income_national": prices.where(F.col("grain") == "national").orderBy("year"),
         "price_income_state": prices.where(F.col("grain") == "state").orderBy("year", "place"),
         "price_income_metro": lookup(
