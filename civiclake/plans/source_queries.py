@@ -180,7 +180,7 @@ def export_sections(spark: SparkSession, folder: str) -> DataFrame:
     sections = {
         "by_place": by_grain(apps, ["yr"], GRAINS, [F.count("*").alias("n"), F.sum("amount").alias("volume")]),
         "by_segment": apps.groupBy("yr", F.col("ltype").alias("place")).agg(
-            F.count("*").alias("n"), F.avg("amount").alias("volume")
+            F.count("*").alias("n"), (F.sum("amount").cast("double") / F.count("*")).alias("volume")
         ),
         "releases": V.registry(spark, folder).select(
             "yr", F.col("release").alias("place"), F.col("n_rows").alias("n"), "frozen_at"
@@ -191,7 +191,7 @@ def export_sections(spark: SparkSession, folder: str) -> DataFrame:
     parts = [
         spark.read.schema(kind).json(f"{root}/{name}").withColumn("section", F.lit(name)) for name in sections
     ]
-    return reduce(DataFrame.unionByName, parts).withColumn("volume", F.round("volume", 4))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def nested_map_flatten(spark: SparkSession, folder: str) -> DataFrame:
@@ -256,11 +256,11 @@ ORACLE = {
     "n_rows + CASE release WHEN 'first' THEN 0 ELSE 5 END AS n_rows, 0::bigint AS corrupt FROM registry",
     "write_guard": "SELECT yr, count(*) AS n, count(rate) AS n_rate FROM apps GROUP BY yr",
     "full_width_scan": "SELECT yr, cast(sum(length(concat(" + ", ".join(COLUMNS) + "))) AS bigint) AS chars FROM raw GROUP BY yr",
-    "export_sections": "SELECT 'by_place' AS section, yr, place, n, round(volume, 4) AS volume, NULL::varchar AS frozen_at FROM ("
+    "export_sections": "SELECT 'by_place' AS section, yr, place, n, round(volume, 6) AS volume, NULL::varchar AS frozen_at FROM ("
     "SELECT yr, 'ALL' AS place, count(*) AS n, cast(sum(amount) AS double) AS volume FROM apps GROUP BY yr UNION ALL "
     "SELECT yr, place1, count(*), cast(sum(amount) AS double) FROM apps GROUP BY yr, place1 UNION ALL "
     "SELECT yr, place2, count(*), cast(sum(amount) AS double) FROM apps WHERE place2 <> '99999' GROUP BY yr, place2) UNION ALL "
-    "SELECT 'by_segment', yr, ltype, count(*), round(cast(sum(amount) AS double) / count(*), 4), NULL FROM apps GROUP BY yr, ltype UNION ALL "
+    "SELECT 'by_segment', yr, ltype, count(*), round(cast(sum(amount) AS double) / count(*), 6), NULL FROM apps GROUP BY yr, ltype UNION ALL "
     "SELECT 'releases', yr, release, n_rows, NULL, strftime(frozen_at, '%Y-%m-%d') FROM registry",
     "nested_map_flatten": "SELECT event_type, cast(event_id % 3 AS varchar) AS class, "
     "cast(sum(cast(props::json->>'$.k' AS bigint)) AS bigint) AS k_total, count(*) AS events FROM events GROUP BY 1, 2",
