@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from civiclake.operators.ranking import top_per_group
+
 
 def _counted(inputs: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFrame:
     """Rows per key of several tables as columns; each table is reduced before they meet."""
@@ -105,7 +107,7 @@ def mismatches(compared: DataFrame) -> DataFrame:
     return compared.where(F.col("diff") != 0)
 
 
-def reconciliation_verdict(compared: DataFrame, by: Sequence[str], examples: int = 10) -> DataFrame:
+def reconciliation_verdict(compared: DataFrame, by: Sequence[str]) -> DataFrame:
     """Per period: cells, official total, differing cells and whether it passed."""
     return compared.groupBy(*by).agg(
         F.count("*").alias("cells"),
@@ -115,6 +117,19 @@ def reconciliation_verdict(compared: DataFrame, by: Sequence[str], examples: int
     )
 
 
+def difference_examples(
+    compared: DataFrame, by: Sequence[str], keys: Sequence[str], k: int = 10
+) -> DataFrame:
+    """Per period with differences, the first `k` differing cells as one text.
+
+    Only k cells per period are ever gathered; `mismatches` has all of them.
+    """
+    first = top_per_group(mismatches(compared), by, [F.asc(c) for c in keys], k)
+    cell = F.concat_ws(" ", *[F.col(c).cast("string") for c in (*keys, "diff")])
+    listed = F.sort_array(F.collect_list(F.struct("rank", cell.alias("cell"))))
+    return first.groupBy(*by).agg(F.array_join(listed["cell"], "; ").alias("examples"))
+
+
 def within_tolerance(
     measured: DataFrame, published: DataFrame, keys: Sequence[str], value: str, tolerance: float
 ) -> DataFrame:

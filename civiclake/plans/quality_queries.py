@@ -73,6 +73,11 @@ def recon_verdict(spark: SparkSession, folder: str) -> DataFrame:
     return Q.reconciliation_verdict(_compared(spark, folder), ["yr"])
 
 
+def recon_examples(spark: SparkSession, folder: str) -> DataFrame:
+    """The first three differing cells of each year."""
+    return Q.difference_examples(_compared(spark, folder), ["yr"], ["place1", "outcome"], 3)
+
+
 def recon_entities(spark: SparkSession, folder: str) -> DataFrame:
     """Entities whose row count differs from the published one."""
     ours = V.apps(spark, folder).groupBy("yr", "entity").agg(F.count("*").alias("n"))
@@ -165,6 +170,7 @@ QUERIES = {
     "single_release": single_release,
     "recon_cells": recon_cells,
     "recon_verdict": recon_verdict,
+    "recon_examples": recon_examples,
     "recon_entities": recon_entities,
     "benchmark_tolerance": benchmark_tolerance,
     "check_log": check_log,
@@ -216,6 +222,9 @@ ORACLE = {
     "single_release": f"WITH {_SINGLE} SELECT * FROM si",
     "recon_cells": f"WITH {_RECON} SELECT * FROM k",
     "recon_verdict": f"WITH {_RECON}, {_VERDICT} SELECT * FROM v",
+    "recon_examples": f"WITH {_RECON}, f AS (SELECT *, row_number() OVER (PARTITION BY yr ORDER BY place1, outcome) AS i "
+    "FROM k WHERE diff <> 0) SELECT yr, string_agg(concat(place1, ' ', outcome, ' ', diff), '; ' ORDER BY i) AS examples "
+    "FROM f WHERE i <= 3 GROUP BY yr",
     "recon_entities": "WITH a AS (SELECT yr, entity, count(*) AS n FROM apps GROUP BY 1, 2) "
     "SELECT yr, entity, n AS observed, CASE WHEN entity = 13 THEN 0 ELSE n + 1 END AS official, "
     "CASE WHEN entity = 13 THEN n ELSE -1 END AS diff FROM a WHERE entity = 13 OR (yr + entity) % 25 = 0",

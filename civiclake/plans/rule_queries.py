@@ -11,7 +11,7 @@ from civiclake.operators import rules as R
 from civiclake.operators.rules import Field, Rulebook, text
 from civiclake.operators.quality import conservation as conserve
 from civiclake.plans import views as V
-from civiclake.sources.scratch import new_dir, stage
+from civiclake.sources.scratch import new_dir
 
 # Fixed values of the raw view: markers, domains and bands.
 MARKERS = ("", "NA", "Exempt")
@@ -137,16 +137,14 @@ def final_nulling(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The landed raw table, and its rows typed and split into valid and rejected."""
-    landed = stage(V.raw(spark, folder), "landed")
-    valid, rejected = R.split_register(landed, BOOK, new_dir(spark, "typed"), ["yr"])
-    return landed, valid, rejected
+def _split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The raw rows typed once and stored as valid and rejected rows."""
+    return R.split_register(V.raw(spark, folder), BOOK, new_dir(spark, "typed"), ["yr"])
 
 
 def quarantine(spark: SparkSession, folder: str) -> DataFrame:
     """Every rejected row with its reasons and a proof that the raw row is kept."""
-    _, _, rejected = _split(spark, folder)
+    _, rejected = _split(spark, folder)
     return rejected.select(
         "rk",
         "rl",
@@ -159,7 +157,7 @@ def quarantine(spark: SparkSession, folder: str) -> DataFrame:
 
 def silver_table(spark: SparkSession, folder: str) -> DataFrame:
     """The typed table itself: every valid row."""
-    _, valid, _ = _split(spark, folder)
+    valid, _ = _split(spark, folder)
     return valid.select(
         "rk",
         "rl",
@@ -183,8 +181,8 @@ def silver_table(spark: SparkSession, folder: str) -> DataFrame:
 
 def conservation(spark: SparkSession, folder: str) -> DataFrame:
     """Per year: raw rows = valid + rejected; rejected must be zero for a clean source."""
-    landed, valid, rejected = _split(spark, folder)
-    return conserve(landed, valid, rejected, ["yr"])
+    valid, rejected = _split(spark, folder)
+    return conserve(V.raw(spark, folder), valid, rejected, ["yr"])
 
 
 QUERIES = {

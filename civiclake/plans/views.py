@@ -7,6 +7,8 @@ checking SQL.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -238,6 +240,4 @@ def with_views(sql: str) -> str:
 
 
 def _mentions(sql: str, name: str) -> bool:
-    import re
-
     return re.search(rf"\b{name}\b", sql) is not None

@@ -277,9 +277,10 @@ def _official_verdict(table: DataFrame, periods: DataFrame, official: DataFrame
         official = ours.where(F.lit(False))
     theirs = official.select("year", "state_code", F.col("action_taken").cast("string"), "n")
     compared = Q.reconcile(ours, theirs.join(periods, "year", "left_semi"), cells, "n")
-    verdict = Q.reconciliation_verdict(compared, ["year"])
+    examples = Q.difference_examples(compared, ["year"], cells[1:])
+    verdict = Q.reconciliation_verdict(compared, ["year"]).join(examples, "year", "left")
     published = verdict.withColumn("passed", F.col("passed") & (F.col("official_total") > 0))
-    return published, "official counts", said(F.col("cells"), "cells,", F.col("differing"), "differ")
+    return published, "official counts", said(F.col("cells"), "cells,", F.col("differing"), "differ", F.col("examples"))
 
 
 def approve(lake: Lake) -> None:

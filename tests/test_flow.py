@@ -118,6 +118,8 @@ def test_checks_gate_marts_and_export(lake, spark, tmp_path):
     found = flow.run_checks(lake, _official(spark, 5), lenders)
     failed = {r["check_name"] for r in found.where("NOT passed").collect()}
     assert failed == {"official counts", "lenders"}  # off by one; one lender is not listed
+    detail = found.where("check_name = 'official counts'").first()["detail"]
+    assert detail == "2 cells, 1 differ DE 1 -1"
     with pytest.raises(NotApproved, match="failures"):
         flow.build_marts(lake)
 
