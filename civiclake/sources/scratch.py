@@ -7,6 +7,7 @@ real bytes.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,18 +17,22 @@ from pyspark.sql import functions as F
 #: Rows up to which a staged side may be broadcast (a few dozen bytes per row: some MB).
 BROADCAST_ROWS = 200_000
 
+#: Folders made for local sessions without `spark.checkpoint.dir`, by application.
+_made: dict[str, str] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by `spark.checkpoint.dir`; a temporary one only on local masters."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    made = tempfile.mkdtemp(prefix="civiclake-")
-    spark.sparkContext.setCheckpointDir(made)
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    if context.applicationId not in _made:
+        _made[context.applicationId] = tempfile.mkdtemp(prefix="civiclake-")
+        context.setCheckpointDir(_made[context.applicationId])
+    return _made[context.applicationId]
 
 
 def new_dir(spark: SparkSession, label: str) -> str:

@@ -5,10 +5,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from civiclake.plans import catalogue
 from tests.compare import connect, differences
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = catalogue.QUERIES, catalogue.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,7 @@ def duck():
 
 def test_every_query_has_checking_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
