@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclake.llm import bpe, token_counts
+from civiclake.llm import bpe, packing, token_counts
 from civiclake.sources.scratch import new_dir
 
 
@@ -32,9 +32,19 @@ def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(
+        _table(spark, folder, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        ranks=public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        pattern=public_tokenizers.PATTERN,
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op7_byte_bpe": op7_byte_bpe,
+    "op9_packing": op9_packing,
 }
 
 #: None of these results can be written in SQL over the tables; tests/llm has brute-force versions.
