@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclake.llm import bpe, packing, token_counts
+from civiclake.llm import bpe, packing, substrings, token_counts
 from civiclake.sources.scratch import new_dir
 
 
@@ -24,6 +24,10 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.dedup_digests(_table(spark, folder, "documents"))
+
+
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(
         _table(spark, folder, "documents"),
@@ -43,6 +47,7 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op3_substring_dedup": op3_substring_dedup,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_packing": op9_packing,
 }
