@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclake.llm import bpe, packing, substrings, token_counts
+from civiclake.llm import bpe, ngram_join, packing, substrings, token_counts
 from civiclake.sources.scratch import new_dir
 
 
@@ -36,6 +36,10 @@ def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.near_duplicates(_table(spark, folder, "documents"))
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(
         _table(spark, folder, "documents"),
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op3_substring_dedup": op3_substring_dedup,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_ngram_join": op8_ngram_join,
     "op9_packing": op9_packing,
 }
 
