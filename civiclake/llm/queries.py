@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclake.llm import bpe, ngram_join, packing, substrings, token_counts
+from civiclake.llm import bpe, ngram_join, packing, substrings, token_counts, toxicity
 from civiclake.sources.scratch import new_dir
 
 
@@ -24,6 +24,10 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.predict(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.dedup_digests(_table(spark, folder, "documents"))
 
@@ -51,6 +55,7 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_toxicity": op2_toxicity,
     "op3_substring_dedup": op3_substring_dedup,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_ngram_join": op8_ngram_join,
