@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from civiclake.llm import queries, toxicity
 
-SF = "/root/testdata/sf0.01"
+SF = "/root/testdata/sf0.1"
 
 
 @pytest.mark.parametrize("sizes", [[1], [3], [4, 1, 5], [2] * 7])
@@ -48,8 +48,8 @@ def test_op2_on_held_out_documents(spark):
     labelled = got.join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").where("held_out").collect()
     good, bad = ([r.score for r in labelled if r.toxic == y] for y in (0, 1))
     order = np.mean([(b > g) + 0.5 * (b == g) for b in bad for g in good])
-    assert order > 0.85
-    assert np.mean([r.predicted == r.toxic for r in labelled]) > 0.9
+    assert order > 0.9
+    assert np.mean([r.predicted == r.toxic for r in labelled]) > 0.95
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in labelled)
 
 
