@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclake.llm import bpe, ngram_join, packing, substrings, token_counts, toxicity
+from civiclake.llm import bpe, ngram_join, packing, substrings, suffix_tree, token_counts, toxicity
 from civiclake.sources.scratch import new_dir
 
 
@@ -32,6 +32,10 @@ def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.dedup_digests(_table(spark, folder, "documents"))
 
 
+def op4_suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_tree.score(_table(spark, folder, "documents"))
+
+
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(
         _table(spark, folder, "documents"),
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_suffix_tree": op4_suffix_tree,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_ngram_join": op8_ngram_join,
     "op9_packing": op9_packing,
