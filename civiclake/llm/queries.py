@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclake.llm import bpe, ngram_join, packing, substrings, suffix_tree, token_counts, toxicity
+from civiclake.llm import bpe, bundles, ngram_join, packing, substrings, suffix_tree, token_counts, toxicity
 from civiclake.sources.scratch import new_dir
 
 
@@ -36,6 +36,12 @@ def op4_suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_tree.score(_table(spark, folder, "documents"))
 
 
+def op6_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
+    place = new_dir(spark, "bundles")
+    index = bundles.write_bundles(_table(spark, folder, "pages"), place)
+    return bundles.verified(bundles.read_records(index, place))
+
+
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(
         _table(spark, folder, "documents"),
@@ -62,10 +68,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_suffix_tree": op4_suffix_tree,
+    "op6_warc_bundles": op6_warc_bundles,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_ngram_join": op8_ngram_join,
     "op9_packing": op9_packing,
 }
 
-#: None of these results can be written in SQL over the tables; tests/llm has brute-force versions.
-ORACLE: dict[str, str] = {}
+_BASE_32 = "||".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (('0x' || substr(hex, {10 * (i // 8) + 1}, 10))::BIGINT >> {35 - 5 * (i % 8)} & 31)::INT, 1)"
+    for i in range(32)
+)
+
+#: Where SQL over the tables can say the same; for all others tests/llm has brute-force versions.
+ORACLE: dict[str, str] = {
+    "op6_warc_bundles": f"""
+        WITH p AS (
+            SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS hex,
+                max(page_id) OVER (PARTITION BY coalesce(html, '')) AS response
+            FROM pages
+        )
+        SELECT page_id, payload_bytes, {_BASE_32} AS payload_digest,
+            CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id <> response THEN response END AS refers_to
+        FROM p""",
+}
