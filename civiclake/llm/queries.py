@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclake.llm import bpe, bundles, ngram_join, packing, substrings, suffix_tree, token_counts, toxicity
+from civiclake.llm import (
+    bpe,
+    bundles,
+    ngram_join,
+    packing,
+    prefix_forest,
+    projection_forest,
+    substrings,
+    suffix_tree,
+    token_counts,
+    toxicity,
+)
 from civiclake.sources.scratch import new_dir
 
 
@@ -36,6 +47,10 @@ def op4_suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_tree.score(_table(spark, folder, "documents"))
 
 
+def op5_prefix_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_forest.nearest(_table(spark, folder, "embeddings"), "vec_id % 100 = 0")
+
+
 def op6_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
     place = new_dir(spark, "bundles")
     index = bundles.write_bundles(_table(spark, folder, "pages"), place)
@@ -63,15 +78,21 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_projection_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return projection_forest.near_duplicates(_table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_suffix_tree": op4_suffix_tree,
+    "op5_prefix_forest": op5_prefix_forest,
     "op6_warc_bundles": op6_warc_bundles,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_ngram_join": op8_ngram_join,
     "op9_packing": op9_packing,
+    "op10_projection_forest": op10_projection_forest,
 }
 
 _BASE_32 = "||".join(
