@@ -113,10 +113,11 @@ def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc"),
+                batch.column("version"),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([set_name(s) if len(s) else None for s in sets], pa.int64()),
             ],
-            ["doc", "n_shingles", "name"],
+            ["doc", "version", "n_shingles", "name"],
         )
 
 
@@ -333,7 +334,7 @@ def links(entries: DataFrame, texts: DataFrame, shared) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`key`, `n_shingles`, `component_id` of every row of `docs`.
+    """`key`, `n_shingles`, `component_id`, `version` (a hash of the text) of every row of `docs`.
 
     A set holds the distinct 5-word shingles of a text, or with fewer words their whole sequence.
     Null, empty and blank texts have the empty set and are linked with nothing: their component is
@@ -342,7 +343,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     """
     spark: SparkSession = docs.sparkSession
     source = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    named = stage(source.mapInArrow(_names, "doc long, n_shingles long, name long"), "set-names")
+    named = stage(source.withColumn("version", F.xxhash64("text")).mapInArrow(_names, "doc long, version long, n_shingles long, name long"), "set-names")
     counts = document_counts(source)
     shared = spark.sparkContext.broadcast(counts)  # 4 * BUCKETS bytes
     with_key = source.where(F.col("doc").isNotNull() & F.col("text").isNotNull())
@@ -371,6 +372,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
         F.col("doc").cast(kind).alias(key),
         "n_shingles",
         F.when(F.col("doc").isNotNull(), F.coalesce("component_id", "doc")).cast(kind).alias("component_id"),
+        "version",
     )
 
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from civiclake.llm import (
     bpe,
     bundles,
@@ -93,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_packing": op9_packing,
     "op10_projection_forest": op10_projection_forest,
+    "pipeline": corpus_pipeline.run,
 }
 
 _BASE_32 = "||".join(

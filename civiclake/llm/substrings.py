@@ -248,17 +248,23 @@ def dedup_digests(docs: DataFrame, *, key: str = "doc_id", text: str = "text", w
     )
 
 
-def dedup_texts(docs: DataFrame, *, key: str = "doc_id", text: str = "text", window: int = 50) -> DataFrame:
+def dedup_texts(
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", window: int = 50, drop_emptied: bool = False
+) -> DataFrame:
     """`docs` with the same columns, the words of duplicate spans removed from `text`.
 
-    A text that loses words is its kept words joined by blanks; all others stay as they are.
+    A text that loses words is its kept words joined by blanks; all others stay as they are. With
+    `drop_emptied`, rows that lose all their words go.
     Edge cases are those of `dedup_digests`.
     """
     edits = repeated(docs, key=key, text=text, window=window).mapInArrow(_edits(window, True), _EDIT).alias("e")
     rows = docs.alias("d")
     same = (F.col(f"d.{key}").cast("long") == F.col("e.doc")) & (F.xxhash64(F.col(f"d.{text}")) == F.col("e.version"))
     changed = F.when(F.col("e.doc").isNotNull(), F.col("e.kept")).otherwise(F.col(f"d.{text}"))
-    return rows.join(edits, same, "left").select(
+    joined = rows.join(edits, same, "left")
+    if drop_emptied:
+        joined = joined.where("e.doc is null or e.kept <> ''")
+    return joined.select(
         *(changed.alias(c) if c == text else F.col(f"d.`{c}`") for c in docs.columns)
     )
 
