@@ -8,7 +8,7 @@ n - ceil(t n) + 1 elements.
 1. Sets whose prefixes share an element, and whose sizes and places there allow the similarity,
    are candidates. They are compared with few pivots instead of in pairs: two rounds compare the
    sets of each shared element with the one of middle size, then with those at the quartiles, and
-   one more round compares all those that are still in different components.
+   one more round compares all those that no pivot has joined yet.
 2. Candidates of a pivot are stored in a prefix tree by the global order. The pivot descends it
    once, so sets with a common beginning share the overlap counted so far, and a subtree is left
    when the remaining lengths can no longer bring the overlap needed.
@@ -61,22 +61,6 @@ def overlap_needed(a, b):
     return -(-n * (a + b) // (n + d))
 
 
-def _count_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents per bucket within this task."""
-    counts = np.zeros(BUCKETS, np.uint64)
-    waiting, size = [], 0
-    for batch in batches:
-        for data in byte_values(batch.column("text")):
-            waiting.append(shingles(data) % np.uint64(BUCKETS))
-            size += len(waiting[-1])
-            if size > 1 << 21:
-                counts += np.bincount(np.concatenate(waiting).astype(np.int64), minlength=BUCKETS).astype(np.uint64)
-                waiting, size = [], 0
-    if size:
-        counts += np.bincount(np.concatenate(waiting).astype(np.int64), minlength=BUCKETS).astype(np.uint64)
-    yield _slices(counts)
-
-
 def _slices(counts: np.ndarray) -> pa.RecordBatch:
     parts = [part.tobytes() for part in np.minimum(counts, np.uint64(2**32 - 1)).astype("<u4").reshape(-1, _SLICE)]
     return pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], ["slice", "counts"])
@@ -92,12 +76,11 @@ def _sum_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int32()), pa.array(parts, pa.binary())], ["slice", "counts"])
 
 
-def document_counts(source: DataFrame) -> np.ndarray:
+def document_counts(named: DataFrame) -> np.ndarray:
     """Documents per bucket of elements, over all documents: `BUCKETS` numbers."""
-    kind = "slice int, counts binary"
-    parts = source.select("text").mapInArrow(_count_slices, kind).repartition("slice").mapInArrow(_sum_slices, kind)
+    parts = named.where("slice is not null").select("slice", "counts").repartition("slice")
     counts = np.zeros(BUCKETS, np.uint32)
-    for row in parts.collect():  # BUCKETS / _SLICE rows
+    for row in parts.mapInArrow(_sum_slices, "slice int, counts binary").collect():  # BUCKETS / _SLICE rows
         counts[row.slice * _SLICE : (row.slice + 1) * _SLICE] = np.frombuffer(row.counts, "<u4")
     return counts
 
@@ -107,18 +90,45 @@ def ordered(elements: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return elements[np.lexsort((elements, counts[(elements % np.uint64(BUCKETS)).astype(np.int64)]))]
 
 
+_NAMED = "doc long, version long, n_shingles long, name long, slice int, counts binary"
+
+
 def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per document with the name of its set, and at the end the task's documents per bucket."""
+    counts = np.zeros(BUCKETS, np.uint64)
+    waiting, size = [np.empty(0, np.uint64)], 0
+
+    def add() -> None:
+        buckets = (np.concatenate(waiting) % np.uint64(BUCKETS)).astype(np.int64)
+        np.add(counts, np.bincount(buckets, minlength=BUCKETS).astype(np.uint64), out=counts)
+
     for batch in batches:
-        sets = [shingles(data) for data in byte_values(batch.column("text"))]
+        sizes, names = [], []
+        for data in byte_values(batch.column("text")):
+            own = shingles(data)
+            sizes.append(len(own))
+            names.append(set_name(own) if len(own) else None)
+            waiting.append(own)
+            size += len(own)
+            if size > 1 << 21:
+                add()
+                waiting, size = [np.empty(0, np.uint64)], 0
+        none = pa.nulls(len(sizes))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc"),
                 batch.column("version"),
-                pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([set_name(s) if len(s) else None for s in sets], pa.int64()),
+                pa.array(sizes, pa.int64()),
+                pa.array(names, pa.int64()),
+                none.cast(pa.int32()),
+                none.cast(pa.binary()),
             ],
-            ["doc", "version", "n_shingles", "name"],
+            ["doc", "version", "n_shingles", "name", "slice", "counts"],
         )
+    add()
+    slices = _slices(counts)
+    none = pa.nulls(slices.num_rows).cast(pa.int64())
+    yield pa.RecordBatch.from_arrays([none] * 4 + slices.columns, ["doc", "version", "n_shingles", "name", "slice", "counts"])
 
 
 def _prefixes(shared):
@@ -213,7 +223,7 @@ def _pairs(pivots: tuple[float, ...] | None):
     """Candidate pairs of rows sorted by element, size and name.
 
     Each element's sets are compared with those of them that stand at the fractions `pivots`; if
-    None, all those are compared that are still in different components.
+    None, all those are compared that no pivot has joined.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,6 +317,16 @@ def _verify(shared):
     return run
 
 
+def _hooks(found: DataFrame) -> DataFrame:
+    """`node`, `hook` for linked candidates: their smallest pivot, or that pivot's own smallest one.
+
+    Equal hooks mean one component; different ones need not mean two, and are compared again.
+    """
+    up = stage(found.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("pivot")), "hooks")
+    further = up.select(F.col("node").alias("pivot"), F.col("pivot").alias("beyond"))
+    return up.join(further, "pivot", "left").select("node", F.coalesce("beyond", "pivot").alias("hook"))
+
+
 def links(entries: DataFrame, texts: DataFrame, shared) -> DataFrame:
     """Links `a`, `b` between set names that join all similar sets into the right components."""
     found = None
@@ -314,8 +334,8 @@ def links(entries: DataFrame, texts: DataFrame, shared) -> DataFrame:
         if found is None:
             rows = entries.withColumn("component", F.col("name"))
         else:
-            rows = entries.join(components(found), F.col("name") == F.col("node"), "left").select(
-                *entries.columns, F.coalesce("component", "name").alias("component")
+            rows = entries.join(_hooks(found), F.col("name") == F.col("node"), "left").select(
+                *entries.columns, F.coalesce("hook", "name").alias("component")
             )
         rows = rows.repartition("element").sortWithinPartitions("element", F.col("place") % F.lit(_HALF), "name")
         pairs = stage(rows.mapInArrow(_pairs(pivots), "pivot long, name long").distinct(), "candidate-pairs")
@@ -343,8 +363,9 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     """
     spark: SparkSession = docs.sparkSession
     source = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    named = stage(source.withColumn("version", F.xxhash64("text")).mapInArrow(_names, "doc long, version long, n_shingles long, name long"), "set-names")
-    counts = document_counts(source)
+    both = stage(source.withColumn("version", F.xxhash64("text")).mapInArrow(_names, _NAMED), "set-names")
+    named = both.where("slice is null").drop("slice", "counts")
+    counts = document_counts(both)
     shared = spark.sparkContext.broadcast(counts)  # 4 * BUCKETS bytes
     with_key = source.where(F.col("doc").isNotNull() & F.col("text").isNotNull())
     entries = stage(
