@@ -71,14 +71,17 @@ def null_audit(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> Data
 
 
 def single_release(stored: DataFrame, registered: DataFrame, period: str, release: str) -> DataFrame:
-    """Per period: exactly one release is stored and it is the registered one."""
+    """Per period, stored or registered: exactly one release is stored and it is the registered one.
+
+    A registered period of which nothing is stored fails."""
     found = stored.groupBy(period).agg(
         F.count_distinct(release).alias("n_releases"), F.max(release).alias("stored")
     )
     wanted = registered.select(period, F.col(release).alias("registered"))
-    return found.join(wanted, period, "left").withColumn(
-        "passed",
-        (F.col("n_releases") == 1) & F.col("stored").eqNullSafe(F.col("registered")),
+    return (
+        found.join(wanted, period, "full_outer")
+        .withColumn("n_releases", F.coalesce("n_releases", F.lit(0).cast("long")))
+        .withColumn("passed", (F.col("n_releases") == 1) & F.col("stored").eqNullSafe(F.col("registered")))
     )
 
 

@@ -38,6 +38,12 @@ def latest_registration(log: DataFrame, period: str, at: str = "applied_at") ->
     return latest_per_key(log, [period, "release"], [F.desc(at)])
 
 
+def switched_to(log: DataFrame, period: str, at: str = "applied_at") -> DataFrame:
+    """Per period, the release that was made current last. A forced switch may go back to a less
+    mature one; registrations that only store a release do not count."""
+    return latest_per_key(log.where("made_current"), [period], [F.desc(at)])
+
+
 def most_mature(registry: DataFrame, period: str, also: Sequence[str] = ()) -> DataFrame:
     return latest_per_key(registry, [*also, period], [F.desc("maturity"), F.desc("frozen_at")])
 

@@ -201,6 +201,8 @@ def split_register(
     """
     typed_rows = type_register(df, book, with_raw=True)
     marked = typed_rows.withColumn(ACCEPTED, F.col(REASONS) == "")
+    if partitions:  # otherwise every task would write every partition
+        marked = marked.hint("rebalance", *(F.col(c) for c in (*partitions, ACCEPTED)))
     marked.write.mode("errorifexists").partitionBy(*partitions, ACCEPTED).parquet(root)
     stored = df.sparkSession.read.schema(marked.schema).parquet(root)
     valid = stored.where(F.col(ACCEPTED)).drop(ACCEPTED, REASONS, RAW_ROW)

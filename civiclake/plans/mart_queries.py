@@ -115,7 +115,7 @@ def _with_reasons(spark: SparkSession, folder: str) -> DataFrame:
         "r3": "case when l_orderkey % 5 = 0 then cast(l_partkey % 9 + 1 as int) end",
         "r4": "case when l_linenumber = 4 then 9 end",
     }
-    rows = V.table(spark, folder, "lineitem").where("l_partkey % 11 <> 0")
+    rows = V.table(spark, folder, "lineitem")
     return rows.select(*[F.expr(sql).alias(name) for name, sql in exprs.items()])
 
 
@@ -313,7 +313,7 @@ ORACLE = {
     "multi_reason_share": "WITH w AS (SELECT cast(year(l_shipdate) AS int) AS yr, l_returnflag AS flag, "
     "[cast(l_partkey % 9 + 1 AS int), CASE WHEN l_suppkey % 3 = 0 THEN cast(l_suppkey % 9 + 1 AS int) END, "
     "CASE WHEN l_orderkey % 5 = 0 THEN cast(l_partkey % 9 + 1 AS int) END, CASE WHEN l_linenumber = 4 THEN 9 END] AS rs "
-    "FROM lineitem WHERE l_partkey % 11 <> 0), "
+    "FROM lineitem), "
     "t AS (SELECT yr, flag, count(*) AS denied FROM w GROUP BY 1, 2), "
     "u AS (SELECT yr, flag, unnest(list_distinct(rs)) AS reason FROM w), "
     "c AS (SELECT yr, flag, reason, count(*) AS citations FROM u GROUP BY 1, 2, 3) "

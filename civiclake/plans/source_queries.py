@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,24 +52,32 @@ def csv_corrupt_capture(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def header_contract(spark: SparkSession, folder: str) -> DataFrame:
-    """Sources with the expected, a reordered and an incomplete header; only the first loads."""
-    raw = V.raw(spark, folder).select(*COLUMNS)
+    """Folders of several files: all headers right, all in another order, and one file wrong among
+    right ones. A folder with a wrong header loads nothing."""
+    raw = V.raw(spark, folder)
+    reordered = [COLUMNS[1], COLUMNS[0], *COLUMNS[2:]]
     sources = {
-        "expected": list(COLUMNS),
-        "reordered": [COLUMNS[1], COLUMNS[0], *COLUMNS[2:]],
-        "incomplete": [*COLUMNS[:-1], "pk"],
+        "expected": [raw.select(*COLUMNS)],
+        "reordered": [raw.select(*reordered)],
+        "one wrong file": [raw.select(*COLUMNS), raw.select(*COLUMNS[:-1], "pk").coalesce(1)],
     }
     parts = []
-    for name, columns in sources.items():
-        path = new_dir(spark, f"csv-{name}")
-        df = V.raw(spark, folder).select(*columns) if "pk" in columns else raw.select(*columns)
-        df.write.option("header", True).csv(path)
-        problem = L.header_problem(L.read_header(spark, path), COLUMNS)
-        loaded = L.read_text_csv(spark, path, COLUMNS) if problem is None else raw.where(F.lit(False))
+    for name, contents in sources.items():
+        path = new_dir(spark, "csv")
+        for df in contents:
+            df.write.mode("append").option("header", True).option("quoteAll", len(contents) > 1).csv(path)
+        headers = L.file_headers(spark, path, COLUMNS)
+        accepted = True
+        try:
+            L.require_headers(headers)
+        except L.LoadRefused:
+            accepted = False
+        found = headers.agg(F.max("problem").alias("problem"), (F.count("*") > F.count("problem")).alias("some_right"), F.sum("lines").alias("n_lines"))
+        loaded = L.read_text_csv(spark, path, COLUMNS) if accepted else raw.where(F.lit(False))
+        rows = loaded.agg(F.count("*").alias("n_rows"))
+        # How many files a folder gets depends on the session; whether some are right does not.
         parts.append(
-            loaded.agg(F.count("*").alias("n_rows")).select(
-                F.lit(name).alias("source"), F.lit(problem).cast("string").alias("problem"), "n_rows"
-            )
+            found.select(F.lit(name).alias("source"), "problem", "some_right", "n_lines", F.lit(rows.scalar()).alias("n_rows"))
         )
     return reduce(DataFrame.unionByName, parts)
 
@@ -114,12 +123,12 @@ def bronze_lineage(spark: SparkSession, folder: str) -> DataFrame:
 def _stored_releases(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
     root = new_dir(spark, "releases")
     rows = V.released_apps(spark, folder)
-    P.create_table(P.balanced(rows, "yr", "release"), root, "yr", "release")
+    P.publish_all(rows, root, "yr", "release")
     return root, rows
 
 
 def _per_release(spark: SparkSession, root: str, rows: DataFrame) -> DataFrame:
-    return P.read_table(spark, root, rows.schema).groupBy("yr", "release").agg(
+    return P.read_current(spark, root, rows.schema).groupBy("yr", "release").agg(
         F.count("*").alias("n"), F.sum("amount").cast("double").alias("volume")
     )
 
@@ -128,8 +137,8 @@ def partition_replace(spark: SparkSession, folder: str) -> DataFrame:
     """One partition replaced by the rows of another release, one cleared, the rest untouched."""
     root, rows = _stored_releases(spark, folder)
     final = rows.where("yr = 1998 AND release = 'final'")
-    P.replace_partition(final, root, {"yr": 1998, "release": "first"})
-    P.replace_partition(rows.where("yr < 0"), root, {"yr": 1999, "release": "first"})
+    P.publish(final, root, {"yr": 1998, "release": "first"})
+    P.publish(rows.where("yr < 0"), root, {"yr": 1999, "release": "first"})
     return _per_release(spark, root, rows)
 
 
@@ -137,12 +146,12 @@ def staged_publish(spark: SparkSession, folder: str) -> DataFrame:
     """A publication with the right count and one whose count is wrong and changes nothing."""
     root, rows = _stored_releases(spark, folder)
     final = rows.where("yr = 1998 AND release = 'final'")
-    P.staged_publish(final, root, {"yr": 1998, "release": "first"}, final.count())
+    P.publish(final, root, {"yr": 1998, "release": "first"}, final.count())
     try:
-        P.staged_publish(final, root, {"yr": 1999, "release": "first"}, -1)
+        P.publish(final, root, {"yr": 1999, "release": "first"}, final.count() + 1)
     except L.LoadRefused:
-        pass
-    return _per_release(spark, root, rows)
+        return _per_release(spark, root, rows)
+    raise AssertionError("a wrong count was published")
 
 
 def load_log(spark: SparkSession, folder: str) -> DataFrame:
@@ -160,11 +169,21 @@ def load_log(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def write_guard(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows written under the domain rules; a single broken row would fail the job."""
-    path = new_dir(spark, "guarded")
+    """A table under domain rules after a write that broke one of them: the old rows, all years."""
+    root = new_dir(spark, "guarded")
     rules = {"outcome": "outcome BETWEEN 1 AND 3", "rate": "rate IS NULL OR rate BETWEEN 0 AND 13"}
-    Q.guarded(V.apps(spark, folder), rules).write.parquet(path)
-    return spark.read.parquet(path).groupBy("yr").agg(F.count("*").alias("n"), F.count("rate").alias("n_rate"))
+    rows = V.apps(spark, folder)
+    P.publish_all(Q.guarded(rows, rules), root, "yr")
+    year = rows.where("yr = 1998")
+    broken = year.withColumn("outcome", F.when(F.col("app_id") % 1000 == 7, 9).otherwise(F.col("outcome")).cast(rows.schema["outcome"].dataType))
+    try:
+        P.publish(Q.guarded(broken, rules), root, {"yr": 1998})
+    except PySparkException as error:
+        if "check failed" not in str(error):
+            raise
+    P.publish(Q.guarded(year.where("outcome = 1"), rules), root, {"yr": 1997})
+    stored = P.read_current(spark, root, rows.schema)
+    return stored.groupBy("yr").agg(F.count("*").alias("n"), F.count("rate").alias("n_rate"), F.sum("outcome").cast("bigint").alias("outcomes"))
 
 
 def full_width_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -210,7 +229,7 @@ def sample_stratified(spark: SparkSession, folder: str) -> DataFrame:
     draw = F.expr("pmod(pmod(app_id, 1000003) * 2654435761, 1000000)")
     sample = sample_rows(V.apps(spark, folder), 0.1, draw).select("yr", "app_id", "outcome")
     path = new_dir(spark, "sample")
-    P.write_extract(sample, path)
+    P.write_extract(sample, path, 1)
     return spark.read.schema(sample.schema).parquet(path)
 
 
@@ -243,9 +262,9 @@ ORACLE = {
     "count(*) AS n_qty, count(*) FILTER (rk % 101 <> 0 AND code_t <> '') AS n_code, "
     f"cast(sum(CASE WHEN rk % 101 = 0 THEN length({_SHORT}) WHEN rk % 103 = 0 THEN length({_WHOLE}) + 6 END) AS bigint) AS corrupt_chars "
     "FROM raw GROUP BY yr_t",
-    "header_contract": "SELECT 'expected' AS source, NULL::varchar AS problem, count(*) AS n_rows FROM raw UNION ALL "
-    "SELECT 'reordered', 'same columns, different order', 0 UNION ALL "
-    "SELECT 'incomplete', 'unexpected [''pk''], missing [''co_t'']', 0",
+    "header_contract": "SELECT 'expected' AS source, NULL::varchar AS problem, true AS some_right, count(*) AS n_lines, count(*) AS n_rows "
+    "FROM raw UNION ALL SELECT 'reordered', 'the columns are in another order', false, count(*), 0 FROM raw UNION ALL "
+    "SELECT 'one wrong file', 'unknown columns (pk), absent columns (co_t)', true, 2 * count(*), 0 FROM raw",
     "line_reconciliation": "SELECT 'clean' AS source, count(*) AS n_lines, count(*) AS n_rows, true AS accepted FROM raw UNION ALL "
     "SELECT 'blank lines', count(*) + count(*) FILTER (rk % 307 = 0), count(*), false FROM raw",
     "bronze_lineage": "SELECT 2021 AS year, 'final' AS release, '9f2c' AS content_hash, '2026-01-02 03:04:05' AS loaded_at, "
@@ -254,7 +273,8 @@ ORACLE = {
     "staged_publish": _REPLACED.format(and_clear=""),
     "load_log": "SELECT yr, release, CASE release WHEN 'first' THEN 1::bigint ELSE 2 END AS loads, "
     "n_rows + CASE release WHEN 'first' THEN 0 ELSE 5 END AS n_rows, 0::bigint AS corrupt FROM registry",
-    "write_guard": "SELECT yr, count(*) AS n, count(rate) AS n_rate FROM apps GROUP BY yr",
+    "write_guard": "SELECT yr, count(*) AS n, count(rate) AS n_rate, cast(sum(outcome) AS bigint) AS outcomes FROM ("
+    "SELECT yr, rate, outcome FROM apps WHERE yr <> 1997 UNION ALL SELECT 1997, rate, outcome FROM apps WHERE yr = 1998 AND outcome = 1) GROUP BY yr",
     "full_width_scan": "SELECT yr, cast(sum(length(concat(" + ", ".join(COLUMNS) + "))) AS bigint) AS chars FROM raw GROUP BY yr",
     "export_sections": "SELECT 'by_place' AS section, yr, place, n, round(volume, 6) AS volume, NULL::varchar AS frozen_at FROM ("
     "SELECT yr, 'ALL' AS place, count(*) AS n, cast(sum(amount) AS double) AS volume FROM apps GROUP BY yr UNION ALL "

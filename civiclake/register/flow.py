@@ -1,7 +1,8 @@
 """From a published file to exported aggregates, one resumable step at a time.
 
 Every step reads stored tables and writes stored tables under one root folder, so each may run
-in its own session. All releases of a year stay stored; "current" is a choice of partitions.
+in its own session. All applied releases of a year stay stored, whichever order they came in;
+"current" is a choice of partitions.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    BooleanType,
     IntegerType,
     LongType,
     StringType,
@@ -37,7 +39,7 @@ from civiclake.sources import landing as L
 from civiclake.sources import publishing as P
 from civiclake.sources.dimensions import lookup
 from civiclake.sources.export import write_sections
-from civiclake.sources.scratch import new_dir, stage
+from civiclake.sources.scratch import stage
 
 LOAD_LOG = (
     "year int, release string, file string, content_hash string, lines bigint, rows bigint, "
@@ -45,7 +47,7 @@ LOAD_LOG = (
 )
 REGISTRY = (
     "year int, release string, maturity int, frozen_at date, rows bigint, rejected bigint, "
-    "with_alerts bigint, applied_at timestamp"
+    "with_alerts bigint, made_current boolean, applied_at timestamp"
 )
 CHECKS = "run_at timestamp, year int, check_name string, passed boolean, detail string"
 
@@ -84,25 +86,53 @@ class Lake:
 
     def raw(self) -> DataFrame:
         schema = StructType([*L.text_schema(COLUMNS), *_LINEAGE, *_KEYS])
-        return P.read_table(self.spark, self.path("raw"), schema)
+        return P.read_current(self.spark, self.path("raw"), schema)
 
     def typed(self) -> DataFrame:
-        return self._partitioned("typed")
+        """Accepted rows of all stored releases."""
+        return self._judged().where(F.col(rules.ACCEPTED)).drop(rules.ACCEPTED, rules.REASONS, rules.RAW_ROW)
 
     def rejected(self) -> DataFrame:
-        return self._partitioned("rejected")
+        reasons = F.split(rules.REASONS, r"\|").alias(rules.REASONS)
+        return self._judged().where(~F.col(rules.ACCEPTED)).select("year", "release", *BOOK.keep, reasons, rules.RAW_ROW)
 
-    def _partitioned(self, name: str) -> DataFrame:
+    def _judged(self) -> DataFrame:
         # The stored schema is fixed by the rulebook; only partition values would be guessed.
-        stored = self.spark.read.parquet(self.path(name))
-        data = [f for f in stored.schema if f.name not in ("year", "release")]
-        return P.read_table(self.spark, self.path(name), StructType([*data, *_KEYS]))
+        if P.current_versions(self.spark, self.path("typed")).isEmpty():
+            raw = self.spark.createDataFrame([], StructType([*L.text_schema(COLUMNS), *_LINEAGE, *_KEYS]))
+            data = judged(raw, None).schema.fields
+        else:
+            stored = self.spark.read.parquet(self.path("typed")).schema
+            data = [f for f in stored if f.name not in ("year", "release", "version", rules.ACCEPTED)]
+            data.append(StructField(rules.ACCEPTED, BooleanType()))
+        return P.read_current(self.spark, self.path("typed"), StructType([*data, *_KEYS]))
+
+    def table(self, name: str) -> DataFrame:
+        """A published table of results, with its stored types."""
+        stored = self.spark.read.parquet(self.path(name)).drop("version")
+        return P.read_current(self.spark, self.path(name), stored.schema)
 
     def registry(self) -> DataFrame:
+        """All stored releases."""
         return V.latest_registration(self.log("registry", REGISTRY), "year")
 
+    def chosen(self) -> DataFrame:
+        """The release of each year that was made current last."""
+        return V.switched_to(self.log("registry", REGISTRY), "year")
+
     def current(self) -> DataFrame:
-        return V.current(self.typed(), self.registry(), "year")
+        return V.read_releases(self.typed(), self.chosen(), "year")
+
+    def as_of(self, day: date) -> DataFrame:
+        return V.as_of(self.typed(), self.registry(), "year", day)
+
+
+def judged(raw: DataFrame, frozen_at: date | None) -> DataFrame:
+    """Typed rows, accepted or not, without the partition they lie in."""
+    typed = rules.type_register(raw, BOOK, with_raw=True)
+    accepted = (F.col(rules.REASONS) == "").alias(rules.ACCEPTED)
+    keys = [c for c in typed.columns if c not in ("year", "release")]
+    return typed.select(*keys, F.lit(frozen_at).cast("date").alias("frozen_at"), accepted)
 
 
 def _at(df: DataFrame, year: int, release: str) -> DataFrame:
@@ -120,48 +150,56 @@ def load_file(
     last = log.orderBy(F.desc("changed_at")).select("content_hash").first()
     if last and last[0] == content_hash and not force:
         return "unchanged"
-    L.require_header(lake.spark, csv, COLUMNS)
-    lines = L.line_counts(lake.spark, csv).agg(F.sum("lines"), F.count("*")).first()
+    _, lines = L.require_headers(L.file_headers(lake.spark, csv, COLUMNS))
     tagged = L.with_lineage(L.read_text_csv(lake.spark, csv, COLUMNS), year, release, content_hash)
     partition = {"year": year, "release": release}
-    P.staged_publish(tagged.drop("_year", "_release"), lake.path("raw"), partition, lines[0])
-    counts = L.raw_counts(_at(lake.raw(), year, release)).first()
-    values = (year, release, csv.rsplit("/", 1)[-1], content_hash, lines[0], counts[0], counts[1])
+    corrupt = {"corrupt": F.col(L.CORRUPT).isNotNull()}
+    found = P.publish(tagged.drop("_year", "_release"), lake.path("raw"), partition, lines, counts=corrupt)
+    values = (year, release, csv.rsplit("/", 1)[-1], content_hash, lines, found["rows"], found["corrupt"])
     lake.record("load_log", LOAD_LOG, values, "changed_at")
     return "loaded"
 
 
 def apply_release(lake: Lake, year: int, release: str, frozen_at: date, force: bool = False) -> str:
-    """Type one raw partition and register it.
+    """Type one raw partition and register it; the outcome says what became of it.
 
-    'applied', or why there was nothing to do: the release is already current, or a more
-    mature one is.
+    'current': readers of the year now get this release. 'stored': a more mature one stays current,
+    this one serves reads as of earlier days. 'unchanged': it was registered before. With `force`
+    the partition is typed again and made current in any case. A broken constraint, or a row that
+    gets lost, fails the job, and neither rows nor registry change.
     """
     check_source(year, release)
     tune(lake.spark)
     level = maturity(release)
-    now = V.most_mature(lake.registry().where(F.col("year") == year), "year").first()
-    if now and not force:
-        if now["release"] == release:
-            return "already current"
-        if now["maturity"] > level:
-            return "current is more mature"
+    known = lake.registry().where(F.col("year") == year)
+    if not force and not _at(known, year, release).isEmpty():
+        return "unchanged"
+    now = lake.chosen().where(F.col("year") == year).first()
+    switch = force or now is None or now["maturity"] < level
     raw = _at(lake.raw(), year, release)
-    total = raw.count()
-    if total == 0:
+    loaded = _at(lake.log("load_log", LOAD_LOG), year, release).orderBy(F.desc("changed_at")).first()
+    if loaded is None:
         raise ValueError(f"{year} {release} has not been loaded")
-    valid, rejected = rules.split_register(raw, BOOK, new_dir(lake.spark, "typed"))
-    valid = valid.withColumn("frozen_at", F.lit(frozen_at))
-    n_valid, n_rejected = valid.count(), rejected.count()
-    if n_valid + n_rejected != total:
-        raise L.LoadRefused(f"{year} {release}: {total} raw rows, {n_valid} valid, {n_rejected} rejected")
+    accepted = F.col(rules.ACCEPTED)
+    counts = {"valid": accepted, "with_alerts": accepted & (F.size(rules.ALERTS) > 0)}
+    kept = {name: f"NOT {rules.ACCEPTED} OR ({test})" for name, test in CONSTRAINTS.items()}
     partition = {"year": year, "release": release}
-    P.replace_partition(Q.guarded(valid, CONSTRAINTS), lake.path("typed"), partition)
-    P.replace_partition(rejected, lake.path("rejected"), partition)
-    with_alerts = valid.where(F.size(rules.ALERTS) > 0).count()
-    values = (year, release, level, frozen_at, n_valid, n_rejected, with_alerts)
+    found = P.publish(
+        judged(raw, frozen_at), lake.path("typed"), partition, loaded["rows"], inner=[rules.ACCEPTED], counts=counts, rules=kept
+    )
+    values = (year, release, level, frozen_at, found["valid"], found["rows"] - found["valid"], found["with_alerts"], switch)
     lake.record("registry", REGISTRY, values, "applied_at")
-    return "applied"
+    return "current" if switch else "stored"
+
+
+def run_scope(lake: Lake, sources: Iterable[tuple[str, int, str, str, date]]) -> list[tuple[int, str, str, str]]:
+    """Load and apply sources (csv, year, release, content hash, frozen at) in the order of
+    publication; returns (year, release, load outcome, apply outcome) of each."""
+    done = []
+    for csv, year, release, content, frozen_at in sorted(sources, key=lambda s: (s[4], s[1], maturity(s[2]))):
+        loaded = load_file(lake, csv, year, release, content)
+        done.append((year, release, loaded, apply_release(lake, year, release, frozen_at, force=False)))
+    return done
 
 
 def comparable_rows(raw: DataFrame) -> DataFrame:
@@ -201,7 +239,7 @@ def compare_releases(
         changes = R.weighted_changes(before, after, COMPARED, diff=diff)
         results["fields"] = R.attribute_fields(changes, COMPARED)
     for name, df in results.items():
-        P.replace_partition(df, lake.path(f"revisions/{name}"), partition)
+        P.publish(df, lake.path(f"revisions/{name}"), partition)
     if proof_state is not None:
         slices = [df.where(F.col("state_code") == proof_state) for df in (before, after)]
         proof = R.multiset_proof(*slices, COMPARED, ["state_code"])
@@ -227,8 +265,8 @@ def run_checks(
     fails. lender_counts: (year, lei, n), checked for the years they cover.
     """
     table = lake.current()
-    chosen = V.most_mature(lake.registry(), "year")
-    periods = table.select("year").distinct()
+    chosen = lake.chosen()
+    periods = chosen.select("year")
 
     def finding(df: DataFrame, name: str, detail) -> DataFrame:
         return df.select("year", F.lit(name).alias("check_name"), "passed", detail.alias("detail"))
@@ -239,7 +277,13 @@ def run_checks(
     single = Q.single_release(table, chosen, "year", "release")
     keys = ["year", "release"]
     wanted = chosen.select(*keys)
-    kept = Q.conservation(lake.raw(), lake.typed(), lake.rejected(), keys).join(wanted, keys)
+    read = [V.read_releases(t, wanted, "year") for t in (lake.raw(), lake.typed(), lake.rejected())]
+    # From the registry: a release of which nothing is stored has no counts, and fails.
+    counts = Q.conservation(*read, keys)
+    kept = wanted.join(counts, keys, "left").fillna({c: 0 for c in ("n_raw", "n_valid", "n_rejected")})
+    kept = kept.withColumns(
+        {"conserved": F.coalesce("conserved", F.lit(False)), "no_rejects": F.coalesce("no_rejects", F.lit(False))}
+    )
     broken = Q.domain_violations(table, CONSTRAINTS, ["year"])
     nulls = Q.null_audit(table, ESSENTIAL, ["year"])
     n_null = reduce(lambda a, b: a + b, [F.col(f"null_{c}") for c in ESSENTIAL])
@@ -311,7 +355,7 @@ def export(lake: Lake, target: str, metro_names: DataFrame, lender_names: DataFr
         return lake.spark.read.parquet(lake.path(f"marts/{name}"))
 
     prices = mart("price_income")
-    entities = lake.spark.read.parquet(lake.path("revisions/entities"))
+    entities = lake.table("revisions/entities")
     ends = entities.where((F.col("from_release") == RELEASES[0]) & (F.col("to_release") == RELEASES[-1]))
     moved = ends.withColumn("moved", F.col("entered") + F.col("left"))
     ranked = top_per_group(moved, ["year"], [F.desc("moved"), F.asc("lei")], top)
@@ -334,8 +378,8 @@ def export(lake: Lake, target: str, metro_names: DataFrame, lender_names: DataFr
         "denial_reasons": mart("denial_reasons").orderBy("year", "purpose", "reason"),
         "disparity": mart("disparity").where(F.col("publishable")).orderBy("year", "dimension", "grp"),
         "impact": mart("impact").orderBy("year", "frozen_at"),
-        "revision_summary": lake.spark.read.parquet(lake.path("revisions/summary")),
-        "revision_fields": lake.spark.read.parquet(lake.path("revisions/fields")).orderBy(
+        "revision_summary": lake.table("revisions/summary"),
+        "revision_fields": lake.table("revisions/fields").orderBy(
             "year", "from_release", F.desc("pairs"), "field"
         ),
         "revision_lenders": moved.groupBy("year").agg(

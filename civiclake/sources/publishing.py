@@ -1,15 +1,27 @@
-"""Writing tables: one partition at a time, only after the count is right."""
+"""Writing tables: every write is a new version, and readers follow a log of switches.
+
+A partition of a published table is a folder of versions, `root/year=2021/version=...`. A write makes
+a version of its own, checked while it is written and counted from its files; only then a line in the
+log `root/_versions` switches readers to it. A write that fails, is refused or loses an executor leaves a
+folder that nobody reads, and what was published before stays as it is.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from civiclake.operators.ranking import latest_per_key
 from civiclake.sources.landing import LoadRefused
-from civiclake.sources.scratch import new_dir, stage
+
+#: The log lies below the table's root; scans of a root skip names that start with an underscore.
+VERSIONS = "_versions"
+_SWITCHES = "place string, version string, rows bigint, switched_at timestamp"
 
 
 def partition_dir(root: str, partition: Mapping[str, object]) -> str:
@@ -20,40 +32,86 @@ def partition_dir(root: str, partition: Mapping[str, object]) -> str:
     return "/".join([root, *[f"{name}={value}" for name, value in partition.items()]])
 
 
-def replace_partition(df: DataFrame, root: str, partition: Mapping[str, object]) -> None:
-    """Replace exactly one partition by `df`; other partitions are not touched.
-
-    The folder itself is overwritten: dynamic partition overwrite would keep the old rows
-    when `df` is empty.
+def publish(
+    df: DataFrame,
+    root: str,
+    partition: Mapping[str, object],
+    expected: int | None = None,
+    inner: Sequence[str] = (),
+    counts: Mapping[str, Column] | None = None,
+    rules: Mapping[str, str] | None = None,
+) -> dict[str, int]:
+    """Make `df` the content of one partition; other partitions are not touched.
+
+    The rows are written once and counted from what was written: `rows` from the footers, the
+    conditions in `counts` from their own columns. With another number of rows than `expected` the
+    load is refused, and so it is if a stored row breaks one of `rules` (name -> SQL condition; NULL
+    counts as broken). Rules may also sit in `df` (`quality.guarded`), where one fails the job. In
+    all cases there is no switch. `inner` are columns that partition the version
+    itself. Returns the counts.
+    """
+    version = uuid.uuid4().hex
+    data = df.drop(*partition)
+    folder = partition_dir(root, {**partition, "version": version})
+    data.write.mode("errorifexists").partitionBy(*inner).parquet(folder)
+    written = df.sparkSession.read.schema(data.schema).parquet(folder)
+    totals = [F.count_if(test).alias(name) for name, test in (counts or {}).items()]
+    broken = [F.count_if(~F.coalesce(F.expr(test), F.lit(False))).alias(f"rule {name}") for name, test in (rules or {}).items()]
+    found = written.agg(F.count(F.lit(1)).alias("rows"), *totals, *broken).first().asDict()
+    failing = [name for name in rules or () if found.pop(f"rule {name}")]
+    if failing:
+        raise LoadRefused(f"check failed: {', '.join(failing)}; {dict(partition)} left unchanged")
+    if expected is not None and found["rows"] != expected:
+        raise LoadRefused(f"expected {expected} rows, wrote {found['rows']}; {dict(partition)} left unchanged")
+    place = partition_dir("", partition).lstrip("/")
+    switch = df.sparkSession.createDataFrame([(place, version, found["rows"], None)], _SWITCHES)
+    append_log(switch.withColumn("switched_at", F.current_timestamp()), f"{root}/{VERSIONS}")
+    return found
+
+
+def publish_all(df: DataFrame, root: str, *partitions: str) -> None:
+    """Publish every partition of `df` in one job; partitions it does not have stay as they are."""
+    version = uuid.uuid4().hex
+    plain = [F.col(p).cast("string").rlike("^[A-Za-z0-9_-]+$") for p in partitions]
+    known = df
+    for name, test in zip(partitions, plain, strict=True):
+        known = known.where(F.when(test, True).otherwise(F.raise_error(F.lit(f"a value of {name} is not a plain name")).cast("boolean")))
+    rows = balanced(known, *partitions).withColumn("version", F.lit(version))
+    rows.write.mode("append").partitionBy(*partitions, "version").parquet(root)
+    stored = df.sparkSession.read.schema(rows.schema).parquet(root).where(F.col("version") == version)
+    place = F.concat_ws("/", *(F.concat(F.lit(f"{p}="), F.col(p).cast("string")) for p in partitions))
+    switches = stored.groupBy(place.alias("place"), "version").agg(F.count(F.lit(1)).alias("rows"))
+    append_log(switches.withColumn("switched_at", F.current_timestamp()), f"{root}/{VERSIONS}")
+
+
+def current_versions(spark: SparkSession, root: str) -> DataFrame:
+    """`place`, `version`, `rows` of each published partition; empty before the first."""
+    try:
+        log = spark.read.schema(_SWITCHES).parquet(f"{root}/{VERSIONS}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        log = spark.createDataFrame([], _SWITCHES)
+    return latest_per_key(log, ["place"], [F.desc("switched_at"), F.desc("version")])
+
+
+def read_current(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    """What is published, with the declared schema ('01' stays text).
+
+    The list of folders has one entry for each partition; conditions on partition columns still prune.
     """
-    rows = df.drop(*partition)
-    rows.write.mode("overwrite").parquet(partition_dir(root, partition))
+    chosen = current_versions(spark, root).select("place", "version").collect()
+    if not chosen:
+        return spark.createDataFrame([], schema)
+    folders = sorted(f"{root}/{r['place']}/version={r['version']}" for r in chosen)
+    return spark.read.schema(schema).option("basePath", root).parquet(*folders).select(*schema.names)
 
 
 def read_table(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """Scan of a partitioned table with its declared schema ('01' stays text)."""
+    """Scan of a partitioned table without versions, with its declared schema."""
     return spark.read.schema(schema).parquet(root)
 
 
-def staged_publish(
-    df: DataFrame, root: str, partition: Mapping[str, object], expected: int
-) -> dict[str, int]:
-    """Write aside, count what was written, and replace the partition only if the count is right.
-
-    On a difference nothing was published and the load is refused, so there is nothing to
-    restore. A failure while publishing leaves the staged copy to publish again.
-    """
-    spark = df.sparkSession
-    staged = new_dir(spark, "staged")
-    df.write.mode("errorifexists").parquet(staged)
-    written = spark.read.schema(df.schema).parquet(staged)
-    rows = written.count()
-    if rows != expected:
-        raise LoadRefused(f"expected {expected} rows, wrote {rows}; {partition} left unchanged")
-    replace_partition(written, root, partition)
-    return {"rows": rows, "expected": expected}
-
-
 def create_table(df: DataFrame, path: str, *partitions: str) -> None:
     """First write of a table; an existing one is not overwritten."""
     df.write.mode("errorifexists").partitionBy(*partitions).parquet(path)
@@ -69,16 +127,9 @@ def append_log(records: DataFrame, path: str) -> None:
     records.write.mode("append").parquet(path)
 
 
-def write_extract(df: DataFrame, path: str, rows_per_file: int = 5_000_000) -> None:
-    """An extract to carry away: one file when it fits, otherwise files of bounded size.
-
-    The rows are staged and counted first, so a large extract never goes through one task.
-    """
-    staged = stage(df, "extract")
-    if staged.count() <= rows_per_file:
-        staged = staged.coalesce(1)
-    out = staged.write.mode("errorifexists").option("maxRecordsPerFile", rows_per_file)
-    out.parquet(path)
+def write_extract(df: DataFrame, path: str, files: int) -> None:
+    """An extract to carry away, in as many files as its reader wants."""
+    df.repartition(files).write.mode("errorifexists").parquet(path)
 
 
 def balanced(df: DataFrame, *columns: str) -> DataFrame:

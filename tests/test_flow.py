@@ -11,6 +11,7 @@ from civiclake.operators.quality import NotApproved
 from civiclake.register import flow
 from civiclake.register.flow import Lake
 from civiclake.register.schema import COLUMNS
+from civiclake.sources import publishing as P
 from civiclake.sources.landing import LoadRefused
 from tests.rows import row, write_csv
 
@@ -50,7 +51,7 @@ def test_republished_file_replaces_only_its_partition(lake, tmp_path):
 @pytest.mark.parametrize(
     "header, said",
     [
-        ([COLUMNS[1], COLUMNS[0], *COLUMNS[2:]], "different order"),
+        ([COLUMNS[1], COLUMNS[0], *COLUMNS[2:]], "another order"),
         ([*COLUMNS[:-1], "new_column"], "new_column"),
     ],
 )
@@ -75,17 +76,56 @@ def test_unknown_sources_are_refused(lake, year, release):
 def test_more_mature_release_becomes_current(lake, tmp_path):
     _load(lake, tmp_path, [row()] * 3)
     _load(lake, tmp_path, [row()] * 5, release="three_year")
-    assert flow.apply_release(lake, 2021, "snapshot", FROZEN["snapshot"]) == "applied"
-    assert flow.apply_release(lake, 2021, "snapshot", FROZEN["snapshot"]) == "already current"
+    assert flow.apply_release(lake, 2021, "snapshot", FROZEN["snapshot"]) == "current"
+    assert flow.apply_release(lake, 2021, "snapshot", FROZEN["snapshot"]) == "unchanged"
     assert lake.current().count() == 3
-    assert flow.apply_release(lake, 2021, "three_year", FROZEN["three_year"]) == "applied"
+    assert flow.apply_release(lake, 2021, "three_year", FROZEN["three_year"]) == "current"
     assert lake.current().count() == 5
-    assert flow.apply_release(lake, 2021, "snapshot", FROZEN["snapshot"]) == "current is more mature"
+    assert flow.apply_release(lake, 2021, "snapshot", FROZEN["snapshot"]) == "unchanged"
     assert lake.typed().count() == 8
+    # Forced, the year goes back to the less mature release; the other one stays for reads as of a day.
+    assert flow.apply_release(lake, 2021, "snapshot", FROZEN["snapshot"], force=True) == "current"
+    assert lake.current().count() == 3 and lake.typed().count() == 8
+    assert lake.as_of(date(2024, 12, 31)).count() == 5
     with pytest.raises(ValueError):
         flow.apply_release(lake, 2022, "snapshot", FROZEN["one_year"])
 
 
+def test_late_older_release_is_stored_for_reads_as_of_a_day(lake, tmp_path):
+    paths = {
+        release: write_csv(tmp_path / f"{release}.csv", [row()] * n) for release, n in (("snapshot", 2), ("three_year", 4))
+    }
+    late = (paths["snapshot"], 2021, "snapshot", "s", FROZEN["snapshot"])
+    first = (paths["three_year"], 2021, "three_year", "t", FROZEN["three_year"])
+    assert flow.run_scope(lake, [first]) == [(2021, "three_year", "loaded", "current")]
+    assert flow.run_scope(lake, [first, late]) == [
+        (2021, "snapshot", "loaded", "stored"), (2021, "three_year", "unchanged", "unchanged"),
+    ]
+    assert lake.current().count() == 4
+    assert lake.as_of(date(2023, 1, 1)).count() == 2
+    assert lake.as_of(date(2020, 1, 1)).count() == 0
+
+
+def test_broken_constraint_keeps_rows_and_registry(lake, tmp_path, monkeypatch):
+    _load(lake, tmp_path, [row()] * 3)
+    flow.apply_release(lake, 2021, "snapshot", FROZEN["snapshot"])
+    monkeypatch.setattr(flow, "CONSTRAINTS", {"no state": "state_code IS NULL"})
+    with pytest.raises(LoadRefused, match="check failed: no state"):
+        flow.apply_release(lake, 2021, "snapshot", FROZEN["snapshot"], force=True)
+    assert lake.current().count() == 3 and lake.log("registry", flow.REGISTRY).count() == 1
+
+
+def test_lost_partition_fails_the_checks(lake, spark, tmp_path):
+    _load(lake, tmp_path, [row()] * 3)
+    _load(lake, tmp_path, [row(activity_year="2022")] * 2, year=2022)
+    for year in (2021, 2022):
+        flow.apply_release(lake, year, "snapshot", FROZEN["snapshot"])
+    P.publish(lake._judged().where("year = 0").drop("year", "release"), lake.path("typed"), {"year": 2022, "release": "snapshot"}, inner=["accepted"])
+    found = {(r["year"], r["check_name"]): r["passed"] for r in flow.run_checks(lake).collect()}
+    assert found[2021, "single release"] and found[2021, "conservation"]
+    assert not found[2022, "single release"] and not found[2022, "conservation"]
+
+
 def test_rejected_rows_are_kept_with_reasons(lake, tmp_path):
     _load(lake, tmp_path, [row(), row(action_taken="9"), row(activity_year="2020")])
     flow.apply_release(lake, 2021, "snapshot", FROZEN["snapshot"])
@@ -98,11 +138,11 @@ def test_rejected_rows_are_kept_with_reasons(lake, tmp_path):
     # A clean republication clears the rejects of the partition.
     _load(lake, tmp_path, [row()], tag="b")
     flow.apply_release(lake, 2021, "snapshot", FROZEN["snapshot"], force=True)
-    assert lake.rejected().count() == 0
+    assert lake.rejected().count() == 0 and lake.current().count() == 1
 
 
 def _official(spark, n):
-    return spark.createDataFrame([(2021, "DE", "1", n), (2021, "DE", "3", 1)], "year int, state_code string, action_taken string, n bigint")
+    return spark.createDataFrame([(2021, "VT", "1", n), (2021, "VT", "3", 1)], "year int, state_code string, action_taken string, n bigint")
 
 
 def test_checks_gate_marts_and_export(lake, spark, tmp_path):
@@ -119,7 +159,7 @@ def test_checks_gate_marts_and_export(lake, spark, tmp_path):
     failed = {r["check_name"] for r in found.where("NOT passed").collect()}
     assert failed == {"official counts", "lenders"}  # off by one; one lender is not listed
     detail = found.where("check_name = 'official counts'").first()["detail"]
-    assert detail == "2 cells, 1 differ DE 1 -1"
+    assert detail == "2 cells, 1 differ VT 1 -1"
     with pytest.raises(NotApproved, match="failures"):
         flow.build_marts(lake)
 
@@ -144,7 +184,7 @@ def test_checks_gate_marts_and_export(lake, spark, tmp_path):
     assert (summary["before"], summary["after"], summary["entered"], summary["left"]) == (5, 5, 1, 1)
     assert [(r["field"], r["pairs"]) for r in spark.read.parquet(lake.path("revisions/fields")).collect()] == [("income", 1)]
 
-    metros = spark.createDataFrame([("48864", "Wilmington")], "place string, name string")
+    metros = spark.createDataFrame([("15540", "Burlington")], "place string, name string")
     names = spark.createDataFrame([("L0", "First Bank")], "lei string, name string")
     flow.export(lake, str(tmp_path / "export"), metros, names)
     top = spark.read.json(str(tmp_path / "export" / "top_lenders"))

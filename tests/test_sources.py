@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+import tempfile
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from civiclake.operators import sampling as S
+from civiclake.operators.quality import guarded
 from civiclake.plans import layout as Y
 from civiclake.plans import views as V
 from civiclake.sources import catalog as C
@@ -18,17 +25,30 @@ SF = "/root/testdata/sf0.01"
 
 
 @pytest.mark.parametrize(
-    "found, said",
+    "header, said",
     [
-        (["a", "b"], None),
-        (["b", "a"], "different order"),
-        (["a"], "missing ['b']"),
-        (["a", "b", "c"], "unexpected ['c']"),
+        ("a,b", None),
+        ('"a","b"', None),
+        ("\ufeffa,b", None),
+        ("a,b\r", None),
+        ("b,a", "another order"),
+        ("a", "absent columns (b)"),
+        ("a,b,c", "unknown columns (c)"),
+        ("a,b,b", "unknown columns ()"),
     ],
 )
-def test_header_problem(found, said):
-    problem = L.header_problem(found, ["a", "b"])
-    assert problem is None if said is None else said in problem
+def test_headers_of_files(spark, tmp_path, header, said):
+    (tmp_path / "one.csv").write_bytes(f"{header}\n1,2\n".encode())
+    (tmp_path / "two.csv").write_text("a,b\n1,2\n3,4")
+    found = {r["file"].rsplit("/", 1)[1]: (r["lines"], r["problem"]) for r in L.file_headers(spark, str(tmp_path), ["a", "b"]).collect()}
+    assert found["two.csv"] == (2, None) and found["one.csv"][0] == 1
+    assert found["one.csv"][1] is None if said is None else said in found["one.csv"][1]
+    headers = L.file_headers(spark, str(tmp_path), ["a", "b"])
+    if said is None:
+        assert L.require_headers(headers) == (2, 3)
+    else:
+        with pytest.raises(L.LoadRefused, match="1 of 2 files.*one.csv"):
+            L.require_headers(headers)
 
 
 def test_lines_are_counted_without_the_parser(spark, tmp_path):
@@ -43,24 +63,45 @@ def test_lines_are_counted_without_the_parser(spark, tmp_path):
 def test_partition_replace_and_clear(spark, tmp_path):
     root = str(tmp_path / "t")
     df = spark.createDataFrame([(1, 2020, "01"), (2, 2020, "02"), (3, 2021, "01")], "x int, yr int, part string")
-    P.create_table(df, root, "yr", "part")
-    with pytest.raises(Exception, match="(?i)already exists"):
-        P.create_table(df, root, "yr", "part")
-    P.replace_partition(df.where("x = 3"), root, {"yr": 2020, "part": "01"})
-    P.replace_partition(df.where("x = 9"), root, {"yr": 2020, "part": "02"})
-    stored = P.read_table(spark, root, df.schema)
+    assert P.read_current(spark, root, df.schema).count() == 0
+    P.publish_all(df, root, "yr", "part")
+    assert P.publish(df.where("x = 3"), root, {"yr": 2020, "part": "01"}, counts={"odd": F.col("x") % 2 == 1}) == {"rows": 1, "odd": 1}
+    assert P.publish(df.where("x = 9"), root, {"yr": 2020, "part": "02"})["rows"] == 0
+    stored = P.read_current(spark, root, df.schema)
     assert {tuple(r) for r in stored.collect()} == {(3, 2020, "01"), (3, 2021, "01")}
     with pytest.raises(ValueError):
-        P.replace_partition(df, root, {"yr": "../2020"})
+        P.publish(df, root, {"yr": "../2020"})
+    with pytest.raises(Exception, match="not a plain name"):
+        P.publish_all(df.withColumn("part", F.lit("a/b")), root, "yr", "part")
+    assert P.read_current(spark, root, df.schema).count() == 2
+    P.create_table(df, str(tmp_path / "once"), "yr")
+    with pytest.raises(Exception, match="(?i)already exists"):
+        P.create_table(df, str(tmp_path / "once"), "yr")
 
 
-def test_staged_publish_refuses_a_wrong_count(spark, tmp_path):
+def test_refused_and_failed_writes_keep_the_old_rows(spark, tmp_path):
     root = str(tmp_path / "t")
-    df = spark.range(5)
-    assert P.staged_publish(df, root, {"yr": 1}, 5)["rows"] == 5
+    df = spark.range(5).withColumn("yr", F.lit(1))
+    assert P.publish(df, root, {"yr": 1}, 5)["rows"] == 5
     with pytest.raises(L.LoadRefused):
-        P.staged_publish(df.limit(2), root, {"yr": 1}, 3)
-    assert spark.read.parquet(root).count() == 5
+        P.publish(df.limit(2), root, {"yr": 1}, 3)
+    with pytest.raises(Exception, match="check failed: small"):
+        P.publish(guarded(df, {"small": "id < 4"}), root, {"yr": 1})
+    assert sorted(r["id"] for r in P.read_current(spark, root, df.schema).collect()) == list(range(5))
+
+
+def test_scratch_without_a_named_folder():
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        "from civiclake.sources.scratch import shared_dir, stage\n"
+        "spark = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "assert spark.conf.get('spark.checkpoint.dir', None) is None\n"
+        "assert shared_dir(spark) == shared_dir(spark) and stage(spark.range(3), 'x').count() == 3\n"
+    )
+    with tempfile.TemporaryDirectory() as empty:
+        home = Path(__file__).resolve().parent.parent
+        env = {**os.environ, "SPARK_CONF_DIR": empty, "PYTHONPATH": str(home)}
+        subprocess.run([sys.executable, "-c", code], env=env, cwd=empty, check=True, timeout=120)
 
 
 def test_scratch_uses_the_named_folder(spark):
@@ -122,13 +163,12 @@ def test_sample_does_not_depend_on_the_layout(spark):
     assert S.public_columns(apps.withColumn("_raw", F.lit(1))).columns == ["app_id", "yr", "outcome"]
 
 
-def test_extract_is_one_file_only_when_it_fits(spark, tmp_path):
+def test_extract_has_as_many_files_as_asked(spark, tmp_path):
     df = spark.range(0, 100, 1, 8)
-    P.write_extract(df, str(tmp_path / "one"))
-    P.write_extract(df, str(tmp_path / "many"), rows_per_file=30)
-    assert len(list((tmp_path / "one").glob("*.parquet"))) == 1
-    assert len(list((tmp_path / "many").glob("*.parquet"))) > 3
-    assert spark.read.parquet(str(tmp_path / "many")).count() == 100
+    for files in (1, 4):
+        P.write_extract(df, str(tmp_path / str(files)), files)
+        assert len(list((tmp_path / str(files)).glob("*.parquet"))) == files
+        assert spark.read.parquet(str(tmp_path / str(files))).count() == 100
 
 
 def test_export_is_plain_json(spark, tmp_path):
