@@ -33,7 +33,7 @@ from civiclake.llm.chunks import byte_values, words
 from civiclake.sources.scratch import stage
 
 #: Documents a cue must stand in, and how many cues may be kept: those with the strongest log odds.
-MIN_DOCS, MAX_CUES = 4, 200_000
+MIN_DOCS, MAX_CUES = 4, 100_000
 #: Parts of the labelled documents; what describes a document of one part comes from the others.
 FOLDS = 3
 #: Standard errors by which log odds are drawn towards zero.
@@ -41,9 +41,9 @@ DOUBT = 1.3
 #: Log odds from which a token of a toxic document is labelled toxic.
 SURE = 1.0
 #: Labelled documents of each label, at most, that fit the field and the curve.
-FIT_DOCS = {0: 5000, 1: 1500}
+FIT_DOCS = {0: 1500, 1: 750}
 #: Words of a fitting document that are used, at most (the field's windows, not its scores).
-FIT_WORDS = 2000
+FIT_WORDS = 800
 #: Lengths of the prefixes, in bytes, that are cues beside the whole word.
 PREFIXES = (4, 5, 6, 7)
 _EDGES = np.array([-2.0, -1.0, -0.5, -0.1, 0.1, 0.5, 1.0, 1.5, 2.0, 2.5, 3.0, 3.5, 4.5])
