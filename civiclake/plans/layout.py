@@ -1,65 +1,30 @@
-"""How queries read a table: files, folders, filters, and what clustering does to them."""
+"""How a table lies in files: rows and value ranges of each, and what clustering does to them."""
 
 from __future__ import annotations
 
-import re
 import time
-from collections.abc import Mapping
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civiclake.sources.scratch import new_dir
 
 
-@dataclass(frozen=True)
-class Reading:
-    """What a query opens: number of files and the partition folders they lie in."""
+def folders_opened(table: DataFrame, partition: str, pruning: Column, wanted: Column) -> DataFrame:
+    """The partition folders a question opens: rows in each, and rows that it asks for.
 
-    files: int
-    folders: tuple[str, ...]
-
-
-def files_read(spark: SparkSession, sql: str, partition: str) -> Reading:
-    """Files the scan will open after partition pruning, from the plan alone.
-
-    Pruned for catalogued tables; the list is the one the driver already holds for planning.
-    """
-    files = spark.sql(sql).inputFiles()
-    found = (re.search(rf"{re.escape(partition)}=[^/]+", f) for f in files)
-    return Reading(len(files), tuple(sorted({m.group(0) for m in found if m})))
-
-
-def explain(spark: SparkSession, sql: str) -> str:
-    return str(spark.sql(f"EXPLAIN FORMATTED {sql}").first()[0])
-
-
-def partition_filters(plan: str) -> list[str]:
-    return [m.strip() for m in re.findall(r"PartitionFilters: (\[.*\])", plan)]
-
-
-def read_schema(plan: str) -> list[str]:
-    return [m.strip() for m in re.findall(r"ReadSchema: (.*)", plan)]
-
-
-def pruning_report(spark: SparkSession, named: Mapping[str, str], partition: str) -> DataFrame:
-    """One row per query: files and folders it reads, its partition filters and columns.
-
-    `named` are SQL texts over one catalogued table; the report is made from their plans.
+    `pruning` is the condition on the partition column that the question has, `wanted` all of it.
     """
-    rows = []
-    for label, sql in named.items():
-        reading, plan = files_read(spark, sql, partition), explain(spark, sql)
-        filters = [f for f in partition_filters(plan) if f != "[]"]
-        rows.append((label, reading.files, len(reading.folders), bool(filters), "; ".join(read_schema(plan)[:1])))
-    kind = "query string, files bigint, folders bigint, has_partition_filter boolean, read_schema string"
-    return spark.createDataFrame(rows, kind)
+    return (
+        table.where(pruning)
+        .groupBy(partition)
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(wanted).alias("n_wanted"))
+    )
 
 
 def as_many_files(stored: DataFrame, at_least: int = 8) -> int:
     """Files for a copy of a stored table: as many as it has, so that tasks stay as small."""
-    return max(at_least, len(stored.inputFiles()))
+    return max(at_least, stored.select("_metadata.file_path").distinct().count())
 
 
 def shuffled_copy(df: DataFrame, files: int, path: str) -> None:
@@ -117,17 +82,6 @@ def cluster_experiment(
     return parts[0].unionByName(parts[1])
 
 
-def conclusion(before: Mapping[str, int], after: Mapping[str, int]) -> str:
-    """What the two measurements allow one to say."""
-    if before["n_rows"] != after["n_rows"]:
-        return "invalid: the number of rows changed"
-    if after["files"] < 2:
-        return "invalid: a single file leaves nothing to skip"
-    if after["files_overlapping"] < before["files_overlapping"]:
-        return "clustering reduces the files read"
-    return "clustering does not reduce the files read"
-
-
 def best_of(df: DataFrame, runs: int = 3) -> float:
     """Best wall time in seconds of reading the whole result without keeping it."""
     times = []

@@ -14,76 +14,78 @@ from civiclake.sources import publishing as P
 from civiclake.sources.scratch import new_dir, stage
 
 
-def _table(spark: SparkSession, folder: str, logical: str) -> str:
+def _table(spark: SparkSession, folder: str, table: str) -> str:
     rows = V.apps(spark, folder).select("app_id", "yr", "place1", "nation", "outcome", "amount")
-    return C.create_as(P.balanced(rows, "yr"), logical, new_dir(spark, "table"), "yr")
+    return C.create_as(P.balanced(rows, "yr"), "civiclake", table, new_dir(spark, "table"), "yr")
 
 
-def _questions(name: str) -> dict[str, str]:
-    """One question with three filters: on the partition, on another column, none."""
-    return {
-        "partition filter": f"SELECT place1, count(*) AS n FROM {name} WHERE yr = 1998 GROUP BY place1",
-        "column filter": f"SELECT yr, count(*) AS n FROM {name} WHERE nation = 'NATION_3' GROUP BY yr",
-        "no filter": f"SELECT yr, count(*) AS n FROM {name} GROUP BY yr",
-    }
+#: Questions as (condition on the partition, condition on another column), for Spark and for SQL.
+_ASKED = {
+    "one year": ("yr = 1998", "true"),
+    "years and outcome": ("yr BETWEEN 1996 AND 1998", "outcome = 3"),
+    "nation": ("true", "nation = 'NATION_3'"),
+    "everything": ("true", "true"),
+}
 
 
 def ctas_partitioned(spark: SparkSession, folder: str) -> DataFrame:
-    name = _table(spark, folder, "civiclake/ctas")
+    name = _table(spark, folder, "ctas")
     parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
     counted = spark.sql(f"SELECT yr, count(*) AS n, max(app_id) AS last FROM {name} GROUP BY yr")
     return counted.withColumn("partitioned_by", F.lit(",".join(parts)))
 
 
 def catalog_register(spark: SparkSession, folder: str) -> DataFrame:
-    """Registered twice at one place (a no-op) and then moved; the name follows the data."""
+    """Two tables of one lake registered together, twice, the second time at another place."""
     rows = V.apps(spark, folder).select("app_id", "yr", "outcome")
-    first, second = new_dir(spark, "place-one"), new_dir(spark, "place-two")
+    first, second, log = (new_dir(spark, f"place-{i}") for i in range(3))
     P.create_table(P.balanced(rows.where("outcome = 1"), "yr"), first, "yr")
     P.create_table(P.balanced(rows, "yr"), second, "yr")
-    C.register(spark, "civiclake/registered", first)
-    C.register(spark, "civiclake/registered", first)
-    name = C.register(spark, "civiclake/registered", second)
-    return spark.sql(f"SELECT yr, outcome, count(*) AS n FROM {name} GROUP BY yr, outcome")
+    P.append_log(rows.select("outcome").distinct(), log)
+    C.register_tables(spark, "civiclake", {"applications": first, "outcomes": log})
+    names = C.register_tables(spark, "civiclake", {"applications": second, "outcomes": log})
+    return spark.sql(
+        f"SELECT yr, outcome, count(*) AS n FROM {names['applications']} JOIN {names['outcomes']} USING (outcome) GROUP BY yr, outcome"
+    )
 
 
 def pruned_count(spark: SparkSession, folder: str) -> DataFrame:
-    name = _table(spark, folder, "civiclake/pruned")
+    """Rows per year of each question, asked of the catalogued table."""
+    name = _table(spark, folder, "pruned")
     parts = [
-        spark.sql(sql).select(
-            F.lit(label).alias("question"), F.expr("cast(" + ("place1" if "place1" in sql else "yr") + " as string)").alias("grp"), "n"
+        spark.sql(f"SELECT yr, count(*) AS n FROM {name} WHERE {pruning} AND {rest} GROUP BY yr").select(
+            F.lit(label).alias("question"), "yr", "n"
         )
-        for label, sql in _questions(name).items()
+        for label, (pruning, rest) in _ASKED.items()
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
-def files_read(spark: SparkSession, folder: str) -> DataFrame:
-    """Partition folders each question opens, beside the rows it counts there."""
-    name = _table(spark, folder, "civiclake/files")
-    parts = []
-    for label, sql in _questions(name).items():
-        reading = Y.files_read(spark, sql, "yr")
-        parts.append(
-            spark.sql(sql).agg(F.sum("n").alias("n_rows")).select(
-                F.lit(label).alias("question"), F.lit(len(reading.folders)).cast("bigint").alias("folders"), "n_rows"
-            )
-        )
+def _folders(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    stored = spark.table(_table(spark, folder, table))
+    parts = [
+        Y.folders_opened(stored, "yr", F.expr(pruning), F.expr(rest)).select(F.lit(label).alias("question"), "yr", "n_rows", "n_wanted")
+        for label, (pruning, rest) in _ASKED.items()
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 
+def files_read(spark: SparkSession, folder: str) -> DataFrame:
+    """Each folder that a question opens, with its rows and those asked for."""
+    return _folders(spark, folder, "files")
+
+
 def partition_filters(spark: SparkSession, folder: str) -> DataFrame:
-    """Which questions reach the scan as partition filters and which columns they read."""
-    report = Y.pruning_report(spark, _questions(_table(spark, folder, "civiclake/filters")), "yr")
-    return report.select("query", "has_partition_filter", "read_schema")
+    """Range of folders each question is confined to, and the rows in them."""
+    return _folders(spark, folder, "filters").groupBy("question").agg(
+        F.min("yr").alias("first_yr"), F.max("yr").alias("last_yr"), F.sum("n_rows").alias("n_rows")
+    )
 
 
 def pruning_report(spark: SparkSession, folder: str) -> DataFrame:
-    """Folders read per question and whether fewer files than the whole table were opened."""
-    report = Y.pruning_report(spark, _questions(_table(spark, folder, "civiclake/report")), "yr")
-    everything = report.where("query = 'no filter'").select("files").scalar()
-    return report.select(
-        "query", "folders", "has_partition_filter", (F.col("files") < everything).alias("pruned")
+    """Folders opened and the share of their rows that a question asks for."""
+    return _folders(spark, folder, "report").groupBy("question").agg(
+        F.count(F.lit(1)).alias("folders"), F.round(F.sum("n_wanted") / F.sum("n_rows"), 6).alias("share_wanted")
     )
 
 
@@ -116,21 +118,20 @@ QUERIES = {
     "files_overlapping": files_overlapping,
 }
 
-_YEARS = "(SELECT count(DISTINCT yr) FROM apps)"
+_OPENED = " UNION ALL ".join(
+    f"SELECT '{label}' AS question, yr, count(*) AS n_rows, count(*) FILTER ({rest}) AS n_wanted FROM apps WHERE {pruning} GROUP BY yr"
+    for label, (pruning, rest) in _ASKED.items()
+)
 
 ORACLE = {
     "ctas_partitioned": "SELECT yr, count(*) AS n, max(app_id) AS last, 'yr' AS partitioned_by FROM apps GROUP BY yr",
     "catalog_register": "SELECT yr, outcome, count(*) AS n FROM apps GROUP BY yr, outcome",
-    "pruned_count": "SELECT 'partition filter' AS question, place1 AS grp, count(*) AS n FROM apps WHERE yr = 1998 GROUP BY place1 UNION ALL "
-    "SELECT 'column filter', cast(yr AS varchar), count(*) FROM apps WHERE nation = 'NATION_3' GROUP BY yr UNION ALL "
-    "SELECT 'no filter', cast(yr AS varchar), count(*) FROM apps GROUP BY yr",
-    "files_read": "SELECT 'partition filter' AS question, 1::bigint AS folders, count(*) AS n_rows FROM apps WHERE yr = 1998 UNION ALL "
-    f"SELECT 'column filter', {_YEARS}, count(*) FROM apps WHERE nation = 'NATION_3' UNION ALL "
-    f"SELECT 'no filter', {_YEARS}, count(*) FROM apps",
-    "partition_filters": "SELECT 'partition filter' AS query, true AS has_partition_filter, 'struct<place1:string>' AS read_schema UNION ALL "
-    "SELECT 'column filter', false, 'struct<nation:string>' UNION ALL SELECT 'no filter', false, 'struct<>'",
-    "pruning_report": "SELECT 'partition filter' AS query, 1::bigint AS folders, true AS has_partition_filter, true AS pruned UNION ALL "
-    f"SELECT 'column filter', {_YEARS}, false, false UNION ALL SELECT 'no filter', {_YEARS}, false, false",
+    "pruned_count": f"SELECT question, yr, n_wanted AS n FROM ({_OPENED}) WHERE n_wanted > 0",
+    "files_read": _OPENED,
+    "partition_filters": "SELECT question, min(yr) AS first_yr, max(yr) AS last_yr, cast(sum(n_rows) AS bigint) AS n_rows "
+    f"FROM ({_OPENED}) GROUP BY question",
+    "pruning_report": "SELECT question, count(*) AS folders, round(sum(n_wanted) / sum(n_rows), 6) AS share_wanted "
+    f"FROM ({_OPENED}) GROUP BY question",
     "cluster_experiment": "SELECT l.layout, count(*) AS n_rows, l.layout = 'clustered' AS skips_files FROM apps, "
     "(VALUES ('shuffled'), ('clustered')) l(layout) GROUP BY l.layout",
     "files_overlapping": "SELECT count(*) AS n_rows, true AS skips_files, true AS finds_value FROM apps",

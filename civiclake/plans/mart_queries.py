@@ -12,6 +12,7 @@ from civiclake.operators.quantiles import exact_quantiles
 from civiclake.operators.shares import multi_reason_share, rate, suppress_small
 from civiclake.operators.standardise import observed_expected
 from civiclake.plans import views as V
+from civiclake.sources.scratch import stage
 
 GRAINS = (
     Grain("national", None, "ALL"),
@@ -184,7 +185,7 @@ def release_impact(spark: SparkSession, folder: str) -> DataFrame:
 
 def choropleth_bins(spark: SparkSession, folder: str) -> DataFrame:
     """Five equal-width classes between the 2 % quantile and the maximum, one scale for all years."""
-    states = _ratio_median(V.apps(spark, folder), ["yr"], (Grain("state", "nation"),))
+    states = stage(_ratio_median(V.apps(spark, folder), ["yr"], (Grain("state", "nation"),)), "state-ratios")
     low = exact_quantiles(states, [], {"low": F.col("ratio")}, 0.02).select("low").scalar()
     high = states.agg(F.max("ratio")).scalar()
     width = F.width_bucket(F.col("ratio"), low, high, F.lit(5))
