@@ -8,7 +8,7 @@ n - ceil(t n) + 1 elements.
 1. Sets whose prefixes share an element, and whose sizes and places there allow the similarity,
    are candidates. They are compared with few pivots instead of in pairs: two rounds compare the
    sets of each shared element with the one of middle size, then with those at the quartiles, and
-   one more round compares all those that no pivot has joined yet.
+   one more round compares all those that are still in different components.
 2. Candidates of a pivot are stored in a prefix tree by the global order. The pivot descends it
    once, so sets with a common beginning share the overlap counted so far, and a subtree is left
    when the remaining lengths can no longer bring the overlap needed.
@@ -223,7 +223,7 @@ def _pairs(pivots: tuple[float, ...] | None):
     """Candidate pairs of rows sorted by element, size and name.
 
     Each element's sets are compared with those of them that stand at the fractions `pivots`; if
-    None, all those are compared that no pivot has joined.
+    None, all those are compared that are in different components.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,7 +334,8 @@ def links(entries: DataFrame, texts: DataFrame, shared) -> DataFrame:
         if found is None:
             rows = entries.withColumn("component", F.col("name"))
         else:
-            rows = entries.join(_hooks(found), F.col("name") == F.col("node"), "left").select(
+            joined = components(found).withColumnRenamed("component", "hook") if pivots is None else _hooks(found)
+            rows = entries.join(joined, F.col("name") == F.col("node"), "left").select(
                 *entries.columns, F.coalesce("hook", "name").alias("component")
             )
         rows = rows.repartition("element").sortWithinPartitions("element", F.col("place") % F.lit(_HALF), "name")
