@@ -114,14 +114,14 @@ def test_catalog_and_pruning(spark, tmp_path):
     df = spark.createDataFrame([(y, s) for y in (2020, 2021, 2022) for s in ("DE", "TX")], "yr int, state string")
     P.create_table(P.balanced(df, "yr"), str(tmp_path / "t"), "yr")
     P.create_table(P.balanced(df.where("yr = 2020"), "yr"), str(tmp_path / "old"), "yr")
-    C.register_tables(spark, "checked", {"a table": str(tmp_path / "old")})
-    names = C.register_tables(spark, "checked", {"a table": str(tmp_path / "t"), "other": str(tmp_path / "old")})
-    assert set(C.registered(spark, "checked")) >= {"a table", "other"}
-    table = spark.table(names["a table"])
+    C.register_tables(spark, "checked", {"a_table": str(tmp_path / "old")})
+    names = C.register_tables(spark, "checked", {"a_table": str(tmp_path / "t"), "other": str(tmp_path / "old")})
+    assert set(C.registered(spark, "checked")) >= {"a_table", "other"}
+    table = spark.table(names["a_table"])
     assert table.count() == 6 and spark.table(names["other"]).count() == 2
     opened = Y.folders_opened(table, "yr", F.col("yr") >= 2021, F.expr("yr >= 2021 AND state = 'TX'"))
     assert {tuple(r) for r in opened.collect()} == {(2021, 2, 1), (2022, 2, 1)}
-    plan = str(spark.sql(f"EXPLAIN FORMATTED SELECT state FROM {names['a table']} WHERE yr = 2021").first()[0])
+    plan = str(spark.sql(f"EXPLAIN FORMATTED SELECT state FROM {names['a_table']} WHERE yr = 2021").first()[0])
     filters = next(line for line in plan.splitlines() if "PartitionFilters" in line)
     assert "yr" in filters and "2021" in filters and "ReadSchema: struct<state:string>" in plan
     for name in names.values():
