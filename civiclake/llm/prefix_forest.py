@@ -4,7 +4,8 @@ Each tree gives a vector a string of `BITS` bits: on which side of random hyperp
 the median of a bounded sample, it lies. A tree is the sorted array of the strings of the rows of one
 shard. A query descends every tree to its longest matching prefix and then ascends in all trees at
 once, one bit at a time, until the prefixes hold `WANTED` times as many entries as the shard has
-rows, counted over all trees. The rows found are ranked by exact distance.
+rows, counted over all trees, and `LEAST` times `k` different rows, or the prefix is empty and all
+rows are found. The query's own row counts for neither. The rows found are ranked by exact distance.
 
 Rows are dealt to shards of about `SHARD` rows and queries to blocks of about `BLOCK`; every block
 meets every shard, and the best of all shards are the answer. All rows are indexed.
@@ -24,6 +25,8 @@ TREES, BITS = 32, 32
 SHARD, BLOCK = 8192, 1024
 #: Entries to gather per shard, over all trees, as a multiple of its rows.
 WANTED = 1.0
+#: Different rows to gather per shard, at least, as a multiple of `k`.
+LEAST = 10
 #: Rows whose medians place the hyperplanes, at most: those with the smallest hashes.
 SAMPLE = 4096
 
@@ -60,23 +63,31 @@ class Forest:
         high = np.stack([np.searchsorted(own, s | below, "right") for own, s in zip(self.sorted, strings, strict=True)])
         return low, high
 
-    def candidates(self, queries: np.ndarray, wanted: float) -> list[np.ndarray]:
-        """Row numbers for each query."""
+    def candidates(self, queries: np.ndarray, wanted: float, least: int, itself: np.ndarray) -> list[np.ndarray]:
+        """Row numbers for each query, without the row `itself` says is its own (-1: none)."""
         strings = self.planes.strings(queries)
         found: list[np.ndarray | None] = [None] * len(queries)
         waiting = np.arange(len(queries))
         for depth in range(self.planes.bits, -1, -1):
             low, high = self.ranges(strings[:, waiting], depth)
-            enough = (high - low).sum(axis=0) >= wanted
+            # Its own row stands once in each tree's prefix, at any depth.
+            enough = (high - low).sum(axis=0) - self.planes.trees * (itself[waiting] >= 0) >= wanted
             for at in np.flatnonzero(enough).tolist():
                 own = np.zeros(len(self.vectors), bool)
                 for tree, (a, b) in enumerate(zip(low[:, at].tolist(), high[:, at].tolist(), strict=True)):
                     own[self.order[tree, a:b]] = True
-                found[waiting[at]] = np.flatnonzero(own)
+                if itself[waiting[at]] >= 0:
+                    own[itself[waiting[at]]] = False
+                rows = np.flatnonzero(own)
+                if len(rows) >= least:
+                    found[waiting[at]] = rows
+                else:
+                    enough[at] = False
             waiting = waiting[~enough]
             if not len(waiting):
                 break
-        return [np.arange(len(self.vectors)) if f is None else f for f in found]
+        everything = np.arange(len(self.vectors))
+        return [everything[everything != own] if f is None else f for f, own in zip(found, itself.tolist(), strict=True)]
 
 
 def _search(planes: Planes, k: int, wanted: float):
@@ -85,9 +96,11 @@ def _search(planes: Planes, k: int, wanted: float):
         out_query, out_id, out_score = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]
         if len(ids) and len(asked):
             vectors, targets = matrix(rows.column("vector")), matrix(queries.column("vector"))
-            found = Forest(planes, vectors).candidates(targets, wanted * len(ids))
+            order = np.argsort(ids)
+            at = order[np.minimum(np.searchsorted(ids, asked, sorter=order), len(ids) - 1)]
+            itself = np.where(ids[at] == asked, at, -1)
+            found = Forest(planes, vectors).candidates(targets, wanted * len(ids), LEAST * k, itself)
             for query, target, own in zip(asked.tolist(), targets, found, strict=True):
-                own = own[ids[own] != query]
                 score = np.sqrt(((vectors[own] - target) ** 2).sum(axis=1))
                 best = np.lexsort((ids[own], score))[:k]
                 out_query.append(np.full(len(best), query))

@@ -65,6 +65,20 @@ def test_shards_blocks_and_odd_rows(spark, monkeypatch):
         assert prefix_forest.nearest(none, "vec_id % 10 = 0").count() == 0
 
 
+def test_few_rows_have_all_their_neighbours(spark):
+    ids, vectors = embeddings(spark)
+    for size in (2, 5, 20, 33, 50, 100):
+        own = vectors[:size]
+        table = spark.createDataFrame(list(enumerate(own.tolist())), "vec_id long, embedding array<double>").coalesce(1)
+        got = sorted((r.query_id, r["rank"], r.vec_id) for r in prefix_forest.nearest(table, "true").collect())
+        distance = np.sqrt(((own[:, None] - own) ** 2).sum(axis=2))
+        want = []
+        for q in range(size):
+            order = sorted((d, v) for v, d in enumerate(distance[q].tolist()) if v != q)[:10]
+            want += [(q, rank, v) for rank, (_, v) in enumerate(order, 1)]
+        assert got == want
+
+
 def test_op10_against_all_pairs(spark):
     ids, vectors = embeddings(spark)
     links, label = brute_links(ids, vectors)
