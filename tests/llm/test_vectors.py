@@ -107,6 +107,19 @@ def test_small_leaves_count_each_pair_once(spark, monkeypatch):
     assert [got[i].component_id for i in range(len(vectors))] == label.tolist()
 
 
+def test_groups_larger_than_a_leaf_have_all_their_links(spark, monkeypatch):
+    monkeypatch.setattr(projection_forest, "leaves", lambda v, f=projection_forest.leaves: f(v, leaf=40))
+    monkeypatch.setattr(projection_forest, "BLOCK", 100, raising=False)
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(3, 64))
+    vectors = np.concatenate([centres[0] + 0.1 * rng.normal(size=(600, 64)), centres[1] + 0.1 * rng.normal(size=(60, 64)), centres[2:], rng.normal(size=(40, 64))])
+    vectors = np.concatenate([vectors, vectors[:300] * rng.uniform(0.1, 10, size=(300, 1)), vectors[660] * rng.uniform(0.1, 10, size=(200, 1))])
+    links, label = brute_links(np.arange(len(vectors)), vectors)
+    table = spark.createDataFrame(list(enumerate(vectors.tolist())), "vec_id long, embedding array<double>")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in projection_forest.near_duplicates(table).collect())
+    assert got == list(zip(range(len(vectors)), links.tolist(), label.tolist(), strict=True))
+
+
 def test_near_duplicates_of_odd_rows(spark):
     rows = [(1, [1.0, 0.0, 0.0, 0.0]), (2, [2.0, 0.01, 0.0, 0.0]), (3, [0.0, 1.0, 0.0, 0.0]), (5, [1.0, 0.0, 0.0, 0.0])]
     rows += [(1000 + i, v) for i, v in enumerate(ODD)] + [(None, [1.0, 0.0, 0.0, 0.0]), (3, [0.0, 1.0, 0.0, 0.0])]
