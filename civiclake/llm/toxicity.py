@@ -10,10 +10,10 @@ Training, from document labels alone:
    the other folds, so that a document's own words do not speak for its label.
 3. The field. A token is described by the classes of its strongest and weakest cue and those of its
    neighbours. Weights and transitions maximise the penalised likelihood of the labelled tokens of
-   at most `FIT_DOCS` documents of each label, those with the smallest hashes.
+   at most `FIT_DOCS` different whole documents of each label, those with the smallest hashes.
 4. Document score. Forward-backward gives each token's probability of being toxic; a logistic curve
    over the expected number of toxic tokens, their share and the highest marginal is fitted on the
-   same documents.
+   same whole documents.
 
 Scoring is one pass over the texts. Chains are cut into lanes of equal length and the two-by-two
 matrices of all lanes advance together, so a long document costs what many short ones do.
@@ -42,8 +42,8 @@ DOUBT = 1.3
 SURE = 1.0
 #: Labelled documents of each label, at most, that fit the field and the curve.
 FIT_DOCS = {0: 1500, 1: 750}
-#: Words of a fitting document that are used, at most (the field's windows, not its scores).
-FIT_WORDS = 800
+#: Tokens whose marginals are computed at once while fitting, about (whole documents).
+FIT_PORTION = 100_000
 #: Lengths of the prefixes, in bytes, that are cues beside the whole word.
 PREFIXES = (4, 5, 6, 7)
 _EDGES = np.array([-2.0, -1.0, -0.5, -0.1, 0.1, 0.5, 1.0, 1.5, 2.0, 2.5, 3.0, 3.5, 4.5])
@@ -181,26 +181,44 @@ def marginals(emission: np.ndarray, first: np.ndarray, pairs: np.ndarray, start:
     return np.minimum(both[:, 1] + both[:, 3], 1.0), both, float(log_scale.reshape(-1)[:n].sum() + boost[:n].sum())
 
 
-def _fit_field(feats: np.ndarray, tags: np.ndarray, first: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Penalised maximum likelihood by gradient steps with momentum and per-weight scaling."""
-    n = feats.shape[1]
+def _fit_portions(chains: list[np.ndarray], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Feature numbers and first tokens of about `size` tokens of whole documents at a time."""
+    portion, total = [], 0
+    for number, own in enumerate(chains, 1):
+        portion.append(own)
+        total += own.shape[1]
+        if total >= size or number == len(chains):
+            first = np.zeros(total, bool)
+            first[np.cumsum([0, *(c.shape[1] for c in portion[:-1])])] = True
+            yield features(np.concatenate(portion, axis=1).astype(np.int64), first), first
+            portion, total = [], 0
+
+
+def _fit_field(chains: list[np.ndarray], tags: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Penalised maximum likelihood by gradient steps with momentum and per-weight scaling.
+
+    `chains` are the classes of each document's tokens, `tags` those of all documents in a row.
+    """
     x = np.zeros(FEATURES + 6)
     square, mean = np.zeros_like(x), np.zeros_like(x)
-    inner = np.flatnonzero(~first)
-    seen = np.bincount(feats[:, tags == 1].ravel(), minlength=FEATURES).astype(float)
-    seen_pairs = np.bincount(2 * tags[inner - 1] + tags[inner], minlength=4).astype(float)
-    seen_start = np.bincount(tags[first], minlength=2).astype(float)
+    n, seen = len(tags), np.zeros_like(x)
+    at = 0
+    for feats, first in _fit_portions(chains, FIT_PORTION):
+        own = tags[at : at + len(first)].astype(np.int64)
+        inner = np.flatnonzero(~first)
+        seen[:FEATURES] += np.bincount(feats[:, own == 1].ravel(), minlength=FEATURES)
+        seen[FEATURES : FEATURES + 4] += np.bincount(2 * own[inner - 1] + own[inner], minlength=4)
+        seen[FEATURES + 4 :] += np.bincount(own[first], minlength=2)
+        at += len(first)
     for step in range(1, rounds + 1):
         weights, pairs, start = x[:FEATURES], x[FEATURES : FEATURES + 4].reshape(2, 2), x[FEATURES + 4 :]
-        toxic, both, _ = marginals(weights[feats].sum(axis=0), first, pairs, start)
-        expected = np.bincount(feats.ravel(), np.tile(toxic, 4), FEATURES)
-        gradient = np.concatenate(
-            [
-                seen - expected,
-                seen_pairs - both[inner].sum(axis=0),
-                seen_start - np.array([(1 - toxic[first]).sum(), toxic[first].sum()]),
-            ]
-        ) / n - 1e-6 * x
+        expected = np.zeros_like(x)
+        for feats, first in _fit_portions(chains, FIT_PORTION):
+            toxic, both, _ = marginals(weights[feats].sum(axis=0), first, pairs, start)
+            expected[:FEATURES] += np.bincount(feats.ravel(), np.tile(toxic, 4), FEATURES)
+            expected[FEATURES : FEATURES + 4] += both[~first].sum(axis=0)
+            expected[FEATURES + 4 :] += (1 - toxic[first]).sum(), toxic[first].sum()
+        gradient = (seen - expected) / n - 1e-6 * x
         mean = 0.9 * mean + 0.1 * gradient
         square = 0.99 * square + 0.01 * gradient**2
         x = x + 0.3 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-9)
@@ -232,6 +250,17 @@ def _fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return curve, centre, scale
 
 
+def fitting_rows(rows: DataFrame) -> DataFrame:
+    """Of each label at most `FIT_DOCS` different texts, whole: those with the smallest hashes."""
+    spark = rows.sparkSession
+    hashed = rows.withColumn("hash", F.xxhash64("text"))
+    chosen = [
+        hashed.where(F.col("toxic") == label).select("toxic", "hash").distinct().orderBy("hash").limit(n) for label, n in FIT_DOCS.items()
+    ]
+    few = spark.createDataFrame(chosen[0].union(chosen[1]).collect(), "toxic long, hash long")  # FIT_DOCS rows
+    return hashed.join(F.broadcast(few), ["toxic", "hash"], "left_semi").drop("hash").dropDuplicates(["text", "toxic"])
+
+
 def train(labelled: DataFrame) -> Field:
     """Fit on rows `text`, `toxic` (0 or 1). Rows with a null text or label teach nothing.
 
@@ -279,31 +308,30 @@ def train(labelled: DataFrame) -> Field:
         own = [Lexicon(odds, fold + 1) for fold in range(FOLDS)]
         for batch in batches:
             found = [
-                own[fold].classes(words(data.lower())[:FIT_WORDS]).astype(np.uint8).tobytes()
+                own[fold].classes(words(data.lower())).astype(np.uint8).tobytes()
                 for data, fold in zip(byte_values(batch.column("text")), batch.column("fold").to_pylist(), strict=True)
             ]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column("toxic")], ["classes", "toxic"])
 
-    ranked = [rows.where(F.col("toxic") == label).orderBy(F.xxhash64("text"), "text").limit(n) for label, n in FIT_DOCS.items()]
-    sample = ranked[0].union(ranked[1]).mapInArrow(describe, "classes binary, toxic long").collect()
-    chains, tags, firsts, labels = [], [], [], []
+    sample = fitting_rows(rows).mapInArrow(describe, "classes binary, toxic long").collect()
+    chains, tags, labels = [], [], []
     sure = int(np.searchsorted(_EDGES, SURE))
     for row in sample:
-        own = np.frombuffer(row.classes, np.uint8).astype(np.int64).reshape(2, -1)
+        own = np.frombuffer(row.classes, np.uint8).reshape(2, -1)
         if not own.shape[1]:
             continue
         chains.append(own)
-        tags.append(((own[0] >= sure) & (own[0] < CLASSES - 1)).astype(np.int64) * row.toxic)
-        firsts.append(np.arange(own.shape[1]) == 0)
+        tags.append(((own[0] >= sure) & (own[0] < CLASSES - 1)).astype(np.uint8) * np.uint8(row.toxic))
         labels.append(row.toxic)
     if len(set(labels)) < 2:
         flat.curve[0] = np.log((bad + 0.5) / (good + 0.5))
         return flat
-    first = np.concatenate(firsts)
-    feats = features(np.concatenate(chains, axis=1), first)
-    weights, pairs, start = _fit_field(feats, np.concatenate(tags), first)
-    toxic, _, _ = marginals(weights[feats].sum(axis=0), first, pairs, start)
-    curve, centre, scale = _fit_curve(summaries(toxic, first), np.array(labels, float))
+    weights, pairs, start = _fit_field(chains, np.concatenate(tags))
+    x = [
+        summaries(marginals(weights[feats].sum(axis=0), first, pairs, start)[0], first)
+        for feats, first in _fit_portions(chains, FIT_PORTION)
+    ]
+    curve, centre, scale = _fit_curve(np.concatenate(x), np.array(labels, float))
     return Field(odds, weights, pairs, start, curve, centre, scale)
 
 

@@ -76,3 +76,21 @@ def test_one_label_only(spark):
         assert [round(r.score) for r in toxicity.score(docs, field).collect()] == [value] * 2
     field = toxicity.train(docs.withColumn("toxic", F.lit(None).cast("int")))
     assert [round(r.score) for r in toxicity.score(docs, field).collect()] == [0, 0]
+
+
+def test_long_texts_teach_by_all_their_words(spark):
+    """The toxic words of the toxic documents stand behind a thousand clean ones."""
+    clean = [(i, f"n{i} " + "the quiet garden was green " * 220, 0) for i in range(60)]
+    toxic = [(100 + i, f"n{i} " + "the quiet garden was green " * 200 + "a vile person is vile", 1) for i in range(40)]
+    field = toxicity.train(spark.createDataFrame(clean + toxic, "doc_id long, text string, toxic int"))
+    new = [(1, "the quiet garden was green " * 210 + "a vile person is vile"), (2, "the quiet garden was green " * 210)]
+    got = {r.doc_id: r.score for r in toxicity.score(spark.createDataFrame(new, "doc_id long, text string"), field).collect()}
+    assert got[1] > 0.7 > got[2]
+
+
+def test_fitting_takes_different_whole_texts(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "FIT_DOCS", {0: 3, 1: 2})
+    rows = [("same " * 2000, 0)] * 30 + [(f"word{i} " * 1500, 0) for i in range(5)] + [("vile " * 900, 1)] * 4
+    got = toxicity.fitting_rows(spark.createDataFrame(rows, "text string, toxic long")).collect()
+    assert sorted(r.toxic for r in got) == [0, 0, 0, 1] and len({r.text for r in got}) == 4
+    assert {r.text for r in got} <= {text for text, _ in rows}
