@@ -81,18 +81,18 @@ def quantiles_by_grain(
     dims: Sequence[str] = (),
     fractions: Mapping[str, float] | float = 0.5,
 ) -> DataFrame:
-    """Exact quantiles per (time, grain, place, dims)."""
-    places = [g.column for g in grains if g.column]
-    named = {name: f"_x_{name}" for name in measures}
-    narrow = df.select(
-        *time, *dims, *places, *[measures[name].cast("double").alias(alias) for name, alias in named.items()]
-    )
-    rows = expand_grains(narrow, grains)
+    """Exact quantiles per (time, grain, place, dims).
+
+    Rows are counted in the finest cells, all place columns together; the grains are added up from those.
+    """
+    places = list(dict.fromkeys(g.column for g in grains if g.column))
     return exact_quantiles(
-        rows,
+        df,
         [*time, "grain", "place", *dims],
-        {name: F.col(alias) for name, alias in named.items()},
+        measures,
         fractions,
+        cells=[*time, *dims, *places],
+        expand=lambda rows: expand_grains(rows, grains),
     )
 
 

@@ -15,13 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civiclake.functions.fingerprint import field_hash, row_fingerprint
+from civiclake.operators.digests import bitmap_of, changed_prints, release_prints, within
 from civiclake.sources.scratch import stage
 
-#: Changed keys that may be broadcast: about 100 bytes each in memory, 200 MB at most.
-BROADCAST_ROWS = 2_000_000
-#: Copies from which one row is kept out of shuffles by its key. A table of N rows has at most
-#: N / HOT_COPIES such rows.
-HOT_COPIES = 1_000_000
 #: Copies one generated row may stand for before the copies are spread over the cluster.
 COPIES_PER_ROW = 10_000
 
@@ -112,51 +108,32 @@ def weighted_changes(
     columns: Sequence[str],
     by: Sequence[str] = (),
     diff: DataFrame | None = None,
+    entity: Sequence[str] = (),
 ) -> DataFrame:
     """Each distinct changed row once, with its weights `entered` and `left`.
 
-    The difference is found on fingerprints (or given as `diff`, of the same rows), and picks
-    the full rows. Only changed rows are needed at full width:
-
-    - few changed keys are broadcast, so other rows are dropped where they are read;
-    - many are joined by shuffle. Rows with very many copies, changed or not, would all meet
-      in one task there, so they are taken out first: there cannot be many of them.
+    The difference is found on fingerprints (or given as `diff`, of the same rows), and picks the full
+    rows. Entities and ranges of fingerprints with equal digests are left out before anything is
+    counted row by row. Full rows are read through a bitmap of the changed fingerprints, whose size
+    does not depend on their number; those it lets through lose their copies before they move,
+    so neither many changed rows nor many copies of one meet in a task.
     """
     kept = list(dict.fromkeys([*by, *columns]))
     if diff is None:
-        diff = multiset_diff(before, after, columns, by)
-    hot_key = F.col("n_before") + F.col("n_after") > HOT_COPIES
-    changed_key = (F.col("entered") > 0) | (F.col("left") > 0)
-    keys = diff.where(hot_key | changed_key).select(
-        *[F.col(c).alias(f"_k_{c}") for c in (*_KEYS, *by)], "entered", "left", hot_key.alias("_hot")
-    )
+        prints = changed_prints(*(release_prints(df, columns, by, entity) for df in (before, after)))
+        counted = prints.groupBy(*_KEYS, *by).agg(F.sum("weight").alias("net")).where("net <> 0")
+        nothing = F.lit(0).cast("long")
+        diff = counted.select(*_KEYS, *by, F.greatest("net", nothing).alias("entered"), F.greatest(-F.col("net"), nothing).alias("left"))
+    keys = changed_only(diff).select(*[F.col(c).alias(f"_k_{c}") for c in (*_KEYS, *by)], "entered", "left")
     keys = stage(keys, "changed-keys")
-    changed, hot = keys.where(changed_key), keys.where("_hot")
-    rows = before.select(*kept).unionByName(after.select(*kept))
-    rows = rows.select(*kept, *row_fingerprint(columns))
-
+    rows = before.select(*kept).unionByName(after.select(*kept)).select(*kept, *row_fingerprint(columns))
+    candidates = within(rows, F.col("h1"), bitmap_of(keys, "_k_h1")).distinct()
     # The staged keys get their own names, so both sides can be spoken of by name.
     same_row = reduce(
         lambda a, b: a & b,
-        [F.col(c) == F.col(f"_k_{c}") for c in _KEYS]
-        + [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in by],
-    )
-
-    def pick(source: DataFrame, side: DataFrame) -> DataFrame:
-        return source.join(side, same_row).select(*kept, "entered", "left").distinct()
-
-    if changed.count() <= BROADCAST_ROWS:
-        return pick(rows, F.broadcast(changed))
-    n_hot = hot.count()
-    if n_hot == 0:
-        return pick(rows, changed)
-    if n_hot > BROADCAST_ROWS:
-        return pick(rows.distinct(), changed)
-    hot = F.broadcast(hot)
-    usual = rows.join(hot, same_row, "left_anti")
-    return pick(usual, changed.where("NOT _hot")).unionByName(
-        pick(rows, F.broadcast(keys.where(changed_key & F.col("_hot"))))
+        [F.col(c) == F.col(f"_k_{c}") for c in _KEYS] + [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in by],
     )
+    return candidates.join(keys, same_row).select(*kept, "entered", "left")
 
 
 def repeat_rows(df: DataFrame, times: str) -> DataFrame:
@@ -190,12 +167,12 @@ def repeat_rows(df: DataFrame, times: str) -> DataFrame:
 
 
 def changed_rows(
-    before: DataFrame, after: DataFrame, columns: Sequence[str], side: str
+    before: DataFrame, after: DataFrame, columns: Sequence[str], side: str, entity: Sequence[str] = ()
 ) -> DataFrame:
     """The rows that left (`side='left'`) or entered, with multiplicity, as a bag difference."""
     if side not in ("left", "entered"):
         raise ValueError(f"side must be 'left' or 'entered', not {side!r}")
-    changes = weighted_changes(before, after, columns)
+    changes = weighted_changes(before, after, columns, entity=entity)
     return repeat_rows(changes.select(*columns, F.col(side).alias("_times")), "_times")
 
 

@@ -32,7 +32,7 @@ def multiset_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def changed_rows(spark: SparkSession, folder: str) -> DataFrame:
     a, b = _ab(spark, folder)
-    changes = R.stage(R.weighted_changes(a, b, ROW), "changes")
+    changes = R.stage(R.weighted_changes(a, b, ROW, entity=["sk"]), "changes")
     parts = [
         R.repeat_rows(changes.select(*ROW, F.col(side).alias("_times")), "_times").withColumn(
             "side", F.lit(side)
@@ -77,7 +77,7 @@ def all_pairs_diff(spark: SparkSession, folder: str) -> DataFrame:
 
 def field_attribution(spark: SparkSession, folder: str) -> DataFrame:
     a, b = _ab(spark, folder)
-    return R.attribute_fields(R.weighted_changes(a, b, ROW), ROW)
+    return R.attribute_fields(R.weighted_changes(a, b, ROW, entity=["sk"]), ROW)
 
 
 def row_fingerprint_query(spark: SparkSession, folder: str) -> DataFrame:

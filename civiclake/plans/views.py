@@ -192,10 +192,10 @@ RAW = {
     "else l_returnflag end",
     "place_t": "case when l_suppkey % 17 = 0 then 'NA' "
     "else concat('S', cast(l_suppkey % 50 as varchar(10))) end",
-    "rate_t": "case when l_partkey % 113 = 0 then '260000' when l_orderkey % 67 = 0 then '-1.5' "
+    "rate_t": "case when l_partkey % 113 = 0 then '812345' when l_orderkey % 67 = 0 then '-1.5' "
     "when l_orderkey % 71 = 0 then 'NA' "
     "else cast(cast(l_tax * 100 as decimal(18,3)) as varchar(40)) end",
-    "spread_t": "case when l_partkey % 127 = 0 then '-9999997' when l_orderkey % 53 = 0 then 'Exempt' "
+    "spread_t": "case when l_partkey % 127 = 0 then '-7654321' when l_orderkey % 53 = 0 then 'Exempt' "
     "else cast(cast(l_discount * 10 as decimal(18,3)) as varchar(40)) end",
     "age_t": "case when l_partkey % 131 = 0 then '9999' when l_orderkey % 73 = 0 then '8888' "
     "when l_partkey % 137 = 0 then '17' when l_quantity < 25 then '<25' else '25-34' end",

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from civiclake.operators import quantiles as N
-from civiclake.operators.grains import Grain, by_grain
+from civiclake.operators.grains import Grain, by_grain, quantiles_by_grain
 from civiclake.operators.quantiles import exact_quantiles, value_bucket
 from civiclake.operators.rules import type_register
 from civiclake.operators.shares import multi_reason_share
@@ -156,11 +156,10 @@ numbers = st.one_of(
 )
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_exact_quantiles_match_numpy(spark, monkeypatch, small):
-    """Random groups, one of them hot, with repeated values; also without broadcasting."""
-    if not small:
-        monkeypatch.setattr(N, "stage_sized", lambda df, label: (df, False))
+@pytest.mark.parametrize("few", [10_000, 3, 0])
+def test_exact_quantiles_match_numpy(spark, monkeypatch, few):
+    """Random groups, one of them hot, with repeated values; also with every bucket cut finer."""
+    monkeypatch.setattr(N, "FEW_VALUES", few)
     rng = np.random.default_rng(7)
     rows = [("hot", float(v)) for v in rng.choice([1.5, 2.0, 2.5, 1e6], 400)]
     rows += [("wide", float(v)) for v in rng.lognormal(0, 9, 301)]
@@ -176,6 +175,46 @@ def test_exact_quantiles_match_numpy(spark, monkeypatch, small):
             assert value == pytest.approx(float(np.quantile(values, q)), rel=1e-12, abs=1e-300)
 
 
+def test_a_giant_group_of_nearly_equal_values_is_cut_into_bounded_buckets(spark, monkeypatch):
+    """All values within 0.1 %: one bucket of the first level, many of the finer ones."""
+    monkeypatch.setattr(N, "FEW_VALUES", 50)
+    sizes = []
+    stage = N.stage
+
+    def watched(df, label):
+        done = stage(df, label)
+        if label == "quantile-buckets":
+            sizes.append(done.count())
+        return done
+
+    monkeypatch.setattr(N, "stage", watched)
+    df = spark.range(200_000).select((F.pmod(F.xxhash64("id"), F.lit(10**9)) / 1e12 + 5.0).alias("v"), F.when(F.col("id") % 3 > 0, "giant").otherwise("other").alias("g"))
+    assert df.select(value_bucket(F.col("v"))).distinct().count() <= 2
+    found = {r.g: r for r in exact_quantiles(df, ["g"], {"v": F.col("v")}, {"v": 0.3}).collect()}
+    for name, rows in df.toPandas().groupby("g"):
+        assert found[name].v == pytest.approx(float(np.quantile(rows.v, 0.3)), rel=1e-15) and found[name].n_v == len(rows)
+    assert len(sizes) > 1  # it was refined
+    finest = df.groupBy("g", value_bucket(F.col("v"), 2)).count().agg({"count": "max"}).first()[0]
+    assert finest < 100
+
+
+def test_grains_share_one_histogram(spark):
+    apps = V.apps(spark, "/root/testdata/sf0.001")
+    grains = (Grain("all"), Grain("place", "place1"), Grain("metro", "place2", exclude=("99999",)))
+    shared = quantiles_by_grain(apps, ["yr"], grains, {"m": F.col("amount")}, ["purpose"], 0.25)
+    rows = apps.select("yr", "purpose", "amount", "place1", "place2").toPandas()
+    found = {(r.yr, r.purpose, r.grain, r.place): (r.m, r.n_m) for r in shared.collect()}
+    want = {}
+    for grain, column in (("all", None), ("place", "place1"), ("metro", "place2")):
+        for r in rows[rows.amount.notna()].itertuples():
+            place = getattr(r, column) if column else "ALL"
+            if place is not None and place != "99999":
+                want.setdefault((r.yr, r.purpose, grain, place), []).append(float(r.amount))
+    assert set(found) == set(want)
+    for key, values in want.items():
+        assert found[key] == (pytest.approx(float(np.quantile(values, 0.25)), rel=1e-12), len(values))
+
+
 def test_quantiles_agree_with_the_builtin(spark):
     apps = V.apps(spark, "/root/testdata/sf0.01")
     ours = exact_quantiles(apps, ["yr", "purpose"], {"m": F.col("amount"), "i": F.col("income")})

@@ -43,9 +43,9 @@ def typed(spark):
         "denied": {"action_taken": "3", "denial_reason_1": "3", "interest_rate": "NA"},
         "rate on denied": {"action_taken": "3"},
         "no state": {"state_code": "NA"},
-        "rate": {"interest_rate": "260000"},
+        "rate": {"interest_rate": "812345"},
         "negative rate": {"interest_rate": "-1"},
-        "spread": {"rate_spread": "-9999997"},
+        "spread": {"rate_spread": "-7654321"},
         "age 9999": {"applicant_age": "9999"},
         "age 8888": {"applicant_age": "8888"},
         "units 0": {"total_units": "0"},
@@ -63,7 +63,7 @@ def typed(spark):
 def test_a_plain_row_is_valid(typed):
     r = typed["plain"]
     assert r["reject_reasons"] == "" and r["alerts"] == [] and r["raw_row"] is None
-    assert r["loan_amount"] == Decimal("205000.00") and r["interest_rate"] == Decimal("3.125")
+    assert r["loan_amount"] == Decimal("240000.00") and r["interest_rate"] == Decimal("4.25")
     assert r["reverse_mortgage"] is False and r["has_exempt"] is False
     assert r["has_co_applicant"] is False and r["denial_reason_1"] is None
     assert len([c for c in r.asDict() if c not in ("reject_reasons", "raw_row")]) == 62
@@ -113,9 +113,9 @@ def test_rejections_keep_the_row(typed, case, reasons):
         ("denied", [], "denial_reason_1", 3),
         ("rate on denied", ["rate without approval"], "action_taken", 3),
         ("no state", ["no state"], "state_code", None),
-        ("rate", ["implausible rate"], "interest_rate", Decimal("260000.000")),
+        ("rate", ["implausible rate"], "interest_rate", Decimal("812345.000")),
         ("negative rate", ["implausible rate"], "interest_rate", Decimal("-1.000")),
-        ("spread", ["implausible spread"], "rate_spread", Decimal("-9999997.000")),
+        ("spread", ["implausible spread"], "rate_spread", Decimal("-7654321.000")),
         ("age 9999", ["applicant_age 9999"], "applicant_age", None),
         ("age 8888", [], "applicant_age", None),
         ("units 0", ["total_units undocumented"], "total_units", None),
