@@ -98,6 +98,13 @@ def multiset_diff(
     return counted.select("*", *_difference(F.col("n_before"), F.col("n_after")))
 
 
+def pair_of(counted: DataFrame, before: str, after: str) -> DataFrame:
+    """The difference of two of the releases of a tally, in the columns of `multiset_diff`."""
+    kept = [c for c in counted.columns if not c.startswith("n_")]
+    two = counted.select(*kept, F.col(f"n_{before}").alias("n_before"), F.col(f"n_{after}").alias("n_after"))
+    return two.where("n_before + n_after > 0").select("*", *_difference(F.col("n_before"), F.col("n_after")))
+
+
 def changed_only(diff: DataFrame) -> DataFrame:
     return diff.where((F.col("entered") > 0) | (F.col("left") > 0))
 
@@ -269,9 +276,9 @@ def all_pairs(counted: DataFrame, names: Sequence[str], by: Sequence[str] = ())
 
 
 def multiset_proof(
-    before: DataFrame, after: DataFrame, columns: Sequence[str], slices: Sequence[str]
+    before: DataFrame, after: DataFrame, columns: Sequence[str], slices: Sequence[str], diff: DataFrame | None = None
 ) -> DataFrame:
-    """Exact bag difference next to the fingerprint result, per slice.
+    """Exact bag difference next to the fingerprint result (or `diff`, of the same rows), per slice.
 
     `exceptAll` compares whole rows without any hash of ours; `agrees` must be true.
     """
@@ -284,7 +291,7 @@ def multiset_proof(
         rows.groupBy(*slices).agg(F.count("*").alias("n")).select(*slices, F.lit(name).alias("what"), "n")
         for name, rows in sides.items()
     ]
-    hashed = entity_rollup(multiset_diff(before, after, columns, carry=slices), slices)
+    hashed = entity_rollup(multiset_diff(before, after, columns, carry=slices) if diff is None else diff, slices)
     exact.append(
         hashed.select(
             *slices,

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from civiclake.plans import (
     change_queries,
+    flow_queries,
     layout_queries,
     mart_queries,
     quality_queries,
@@ -29,6 +30,7 @@ _MODULES = (
     source_queries,
     layout_queries,
     register_queries,
+    flow_queries,
 )
 
 

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from civiclake.operators import ranking as K
 from civiclake.operators import releases as R
+from civiclake.operators.asof import as_of_join
 from civiclake.plans import views as V
 from civiclake.sources import dimensions as D
 from civiclake.sources import inventory as I
-from civiclake.sources.publishing import append_log
-from civiclake.sources.scratch import new_dir
+from civiclake.sources.publishing import append_log, publish_all, read_current
+from civiclake.sources.scratch import new_dir, stage
 
 DAYS = (date(1997, 6, 1), date(2000, 1, 1), date(2003, 6, 30))
 
@@ -25,13 +26,36 @@ def current_release(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _effective(registry: DataFrame) -> DataFrame:
+    """The registrations that changed what a reader saw, in the order they did."""
+    return R.publication_order(registry, "yr").where("takes_effect")
+
+
 def as_of_date(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows and denials an analyst saw on each of three days."""
-    visible = R.visible_on_days(V.registry(spark, folder), "yr", DAYS)
-    cells = V.released_apps(spark, folder).groupBy("yr", "release").agg(
-        F.count("*").alias("n"), F.count_if(F.col("outcome") == 3).alias("denied")
+    """Rows and denials an analyst saw on each of three days, from published partitions.
+
+    Only the partitions that were visible on some day are opened.
+    """
+    root = new_dir(spark, "stored-releases")
+    rows = V.released_apps(spark, folder)
+    publish_all(rows, root, "yr", "release")
+    registry = V.registry(spark, folder)
+    days = F.explode(F.array(*[F.lit(d) for d in DAYS])).alias("as_of")
+    asked = registry.select("yr").distinct().select("yr", days)
+    visible = as_of_join(asked, _effective(registry), ["yr"], "as_of", "frozen_at", ["maturity", "release"])
+    visible = stage(visible.where("release IS NOT NULL").select("as_of", "yr", "release"), "visible")
+    stored = R.read_releases(read_current(spark, root, rows.schema), visible, "yr")
+    cells = stored.groupBy("yr", "release").agg(F.count("*").alias("n"), F.count_if(F.col("outcome") == 3).alias("denied"))
+    return visible.join(cells, ["yr", "release"])
+
+
+def as_of_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """For every order, which release of its year was in force when it was looked up, some days after it was made."""
+    orders = V.table(spark, folder, "orders").select(
+        F.year("o_orderdate").alias("yr"), F.expr("cast(date_add(o_orderdate, cast(o_orderkey % 1500 as int)) as date)").alias("day"), "o_totalprice"
     )
-    return visible.select("as_of", "yr", "release").join(cells, ["yr", "release"])
+    seen = as_of_join(orders, _effective(V.registry(spark, folder)), ["yr"], "day", "frozen_at", ["maturity", "release"])
+    return seen.groupBy("yr", "release").agg(F.count("*").alias("n"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
 
 
 def publication_order(spark: SparkSession, folder: str) -> DataFrame:
@@ -157,6 +181,7 @@ def topk_latest(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "current_release": current_release,
     "as_of_date": as_of_date,
+    "as_of_rows": as_of_rows,
     "publication_order": publication_order,
     "release_scope": release_scope,
     "release_registry": release_registry,
@@ -200,6 +225,12 @@ ORACLE = {
     "as_of_date": f"WITH {_CELLS}, q(as_of) AS (VALUES {_ASKED}), "
     "v AS (SELECT as_of, yr, arg_max(release, maturity) AS release FROM q JOIN registry ON frozen_at <= as_of GROUP BY as_of, yr) "
     "SELECT as_of, yr, release, n, denied FROM v JOIN cells USING (yr, release)",
+    "as_of_rows": "WITH p AS (SELECT yr, release, maturity, frozen_at, coalesce(maturity > max(maturity) OVER (PARTITION BY yr "
+    "ORDER BY frozen_at, maturity ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS effective FROM registry), "
+    "h AS (SELECT yr, frozen_at, arg_max(release, maturity) AS release FROM p WHERE effective GROUP BY yr, frozen_at), "
+    "o AS (SELECT cast(year(o_orderdate) AS int) AS yr, cast(o_orderdate AS date) + cast(o_orderkey % 1500 AS int) AS day FROM orders) "
+    "SELECT o.yr, h.release, count(*) AS n, min(day) AS first_day, max(day) AS last_day "
+    "FROM o ASOF LEFT JOIN h ON o.yr = h.yr AND o.day >= h.frozen_at GROUP BY o.yr, h.release",
     "publication_order": "SELECT yr, release, frozen_at, row_number() OVER (ORDER BY frozen_at, yr, maturity) AS position, "
     "coalesce(maturity > max(maturity) OVER (PARTITION BY yr ORDER BY frozen_at, maturity "
     "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS takes_effect FROM registry",

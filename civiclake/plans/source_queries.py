@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.errors import PySparkException
@@ -15,6 +16,7 @@ from civiclake.plans import views as V
 from civiclake.plans.mart_queries import GRAINS
 from civiclake.sources import dimensions as D
 from civiclake.sources import export as X
+from civiclake.sources import commits
 from civiclake.sources import landing as L
 from civiclake.sources import publishing as P
 from civiclake.sources.scratch import new_dir
@@ -59,7 +61,7 @@ def header_contract(spark: SparkSession, folder: str) -> DataFrame:
     sources = {
         "expected": [raw.select(*COLUMNS)],
         "reordered": [raw.select(*reordered)],
-        "one wrong file": [raw.select(*COLUMNS), raw.select(*COLUMNS[:-1], "pk").coalesce(1)],
+        "one wrong file": [raw.select(*COLUMNS), raw.select(*COLUMNS[:-1], "pk")],
     }
     parts = []
     for name, contents in sources.items():
@@ -154,6 +156,31 @@ def staged_publish(spark: SparkSession, folder: str) -> DataFrame:
     raise AssertionError("a wrong count was published")
 
 
+def retained_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """A partition replaced twice and a refused write, then removal of what no reader can reach.
+
+    One read of the first commit is open. What the table holds now, what that read still sees, and how
+    many versions went.
+    """
+    root, rows = _stored_releases(spark, folder)
+    opened = commits.last_commit(spark, f"{root}/{P.VERSIONS}")
+    final = rows.where("yr = 1998 AND release = 'final'")
+    P.publish(final, root, {"yr": 1998, "release": "first"})
+    P.publish(final.where("outcome = 1"), root, {"yr": 1998, "release": "first"})
+    try:
+        P.publish(final, root, {"yr": 1999, "release": "first"}, 0)
+    except L.LoadRefused:
+        gone = P.retire(spark, root, keep=[opened], grace=timedelta(0))
+    place = F.regexp_extract("place", "yr=([0-9]+)/release=(.*)", 1).cast(rows.schema["yr"].dataType), F.regexp_extract("place", "yr=([0-9]+)/release=(.*)", 2)
+    removed = gone.groupBy(place[0].alias("yr"), place[1].alias("release")).agg(F.count("*").alias("n"), F.lit(None).cast("double").alias("volume"))
+    seen = {"now": None, "at the first commit": opened}
+    reads = [
+        P.read_current(spark, root, rows.schema, at).groupBy("yr", "release").agg(F.count("*").alias("n"), F.sum("amount").cast("double").alias("volume")).withColumn("what", F.lit(what))
+        for what, at in seen.items()
+    ]
+    return reads[0].unionByName(reads[1]).unionByName(removed.withColumn("what", F.lit("removed versions")))
+
+
 def load_log(spark: SparkSession, folder: str) -> DataFrame:
     """Two loads per release appended to the log: what was loaded last, and how often."""
     log = new_dir(spark, "load-log")
@@ -240,6 +267,7 @@ QUERIES = {
     "bronze_lineage": bronze_lineage,
     "partition_replace": partition_replace,
     "staged_publish": staged_publish,
+    "retained_versions": retained_versions,
     "load_log": load_log,
     "write_guard": write_guard,
     "full_width_scan": full_width_scan,
@@ -271,6 +299,12 @@ ORACLE = {
     "count(*) AS n_rows, count(*) AS n_with_file FROM raw",
     "partition_replace": _REPLACED.format(and_clear=" AND NOT (yr = 1999 AND release = 'first')"),
     "staged_publish": _REPLACED.format(and_clear=""),
+    "retained_versions": "SELECT 'at the first commit' AS what, yr, release, count(*) AS n, cast(sum(amount) AS double) AS volume "
+    "FROM released GROUP BY yr, release UNION ALL "
+    "SELECT 'now', yr, release, count(*), cast(sum(amount) AS double) FROM ("
+    "SELECT yr, release, amount FROM released WHERE NOT (yr = 1998 AND release = 'first') UNION ALL "
+    "SELECT yr, 'first', amount FROM released WHERE yr = 1998 AND release = 'final' AND outcome = 1) GROUP BY yr, release UNION ALL "
+    "SELECT 'removed versions', yr, 'first', 1, NULL FROM (SELECT DISTINCT yr FROM released WHERE yr IN (1998, 1999))",
     "load_log": "SELECT yr, release, CASE release WHEN 'first' THEN 1::bigint ELSE 2 END AS loads, "
     "n_rows + CASE release WHEN 'first' THEN 0 ELSE 5 END AS n_rows, 0::bigint AS corrupt FROM registry",
     "write_guard": "SELECT yr, count(*) AS n, count(rate) AS n_rate, cast(sum(outcome) AS bigint) AS outcomes FROM ("

@@ -11,8 +11,8 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
+from itertools import combinations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -35,6 +35,7 @@ from civiclake.register import marts
 from civiclake.register.rulebook import BOOK, CONSTRAINTS, ESSENTIAL
 from civiclake.register.schema import COLUMNS, COMPARED, RELEASES, RESPELLED, check_source, maturity
 from civiclake.session import tune
+from civiclake.sources import commits
 from civiclake.sources import landing as L
 from civiclake.sources import publishing as P
 from civiclake.sources.dimensions import lookup
@@ -71,18 +72,13 @@ class Lake:
         return f"{self.root}/{name}"
 
     def log(self, name: str, schema: str) -> DataFrame:
-        """An append-only log; empty before its first record."""
-        try:
-            return self.spark.read.schema(schema).parquet(self.path(name))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
+        """A numbered log, its order in `commit`; empty before its first record."""
+        return commits.read(self.spark, self.path(name), schema)
 
     def record(self, name: str, schema: str, values: tuple, at: str) -> None:
         """Append one record, stamped with the time of writing in column `at`."""
         row = self.spark.createDataFrame([(*values, None)], schema)
-        P.append_log(row.withColumn(at, F.current_timestamp()), self.path(name))
+        commits.append(row.withColumn(at, F.current_timestamp()), self.path(name))
 
     def raw(self) -> DataFrame:
         schema = StructType([*L.text_schema(COLUMNS), *_LINEAGE, *_KEYS])
@@ -114,11 +110,11 @@ class Lake:
 
     def registry(self) -> DataFrame:
         """All stored releases."""
-        return V.latest_registration(self.log("registry", REGISTRY), "year")
+        return V.latest_registration(self.log("registry", REGISTRY), "year", "commit").drop("commit")
 
     def chosen(self) -> DataFrame:
         """The release of each year that was made current last."""
-        return V.switched_to(self.log("registry", REGISTRY), "year")
+        return V.switched_to(self.log("registry", REGISTRY), "year", "commit").drop("commit")
 
     def current(self) -> DataFrame:
         return V.read_releases(self.typed(), self.chosen(), "year")
@@ -147,7 +143,7 @@ def load_file(
     stored before then stays."""
     check_source(year, release)
     log = _at(lake.log("load_log", LOAD_LOG), year, release)
-    last = log.orderBy(F.desc("changed_at")).select("content_hash").first()
+    last = log.orderBy(F.desc("commit")).select("content_hash").first()
     if last and last[0] == content_hash and not force:
         return "unchanged"
     _, lines = L.require_headers(L.file_headers(lake.spark, csv, COLUMNS))
@@ -177,7 +173,7 @@ def apply_release(lake: Lake, year: int, release: str, frozen_at: date, force: b
     now = lake.chosen().where(F.col("year") == year).first()
     switch = force or now is None or now["maturity"] < level
     raw = _at(lake.raw(), year, release)
-    loaded = _at(lake.log("load_log", LOAD_LOG), year, release).orderBy(F.desc("changed_at")).first()
+    loaded = _at(lake.log("load_log", LOAD_LOG), year, release).orderBy(F.desc("commit")).first()
     if loaded is None:
         raise ValueError(f"{year} {release} has not been loaded")
     accepted = F.col(rules.ACCEPTED)
@@ -216,44 +212,46 @@ class ProofFailed(RuntimeError):
     """The fingerprint result differs from the exact bag difference."""
 
 
-def compare_releases(
-    lake: Lake, year: int, earlier: str, later: str, proof_state: str | None = "DE", fields: bool = True
-) -> None:
+def compare_releases(lake: Lake, year: int, earlier: str, later: str, proof_state: str | None, fields: bool = True) -> None:
     """Write what changed between two releases: rows, lenders, fields and a summary.
 
-    The tally is staged once; rows, lenders and summary are aggregates of it. On one state the
-    result is proved against an exact bag difference.
+    On one state (none: on no rows) the result is proved against an exact bag difference before anything is published.
     """
-    if maturity(earlier) >= maturity(later):
-        raise ValueError(f"{earlier!r} does not precede {later!r}")
-    before = comparable_rows(_at(lake.raw(), year, earlier))
-    after = comparable_rows(_at(lake.raw(), year, later))
-    partition = {"year": year, "from_release": earlier, "to_release": later}
-    diff = stage(R.multiset_diff(before, after, COMPARED, carry=CARRIED), "tally")
-    results = {
-        "rows": R.changed_only(diff),
-        "entities": R.entity_rollup(diff, ["lei"]),
-        "summary": R.pair_summary(diff),
-    }
-    if fields:
-        changes = R.weighted_changes(before, after, COMPARED, diff=diff)
-        results["fields"] = R.attribute_fields(changes, COMPARED)
-    for name, df in results.items():
-        P.publish(df, lake.path(f"revisions/{name}"), partition)
-    if proof_state is not None:
-        slices = [df.where(F.col("state_code") == proof_state) for df in (before, after)]
-        proof = R.multiset_proof(*slices, COMPARED, ["state_code"])
-        if proof.where(~F.col("agrees")).limit(1).count():
-            raise ProofFailed(f"{year} {earlier} to {later} in {proof_state}")
+    _compare(lake, year, [(earlier, later)], proof_state, [(earlier, later)] if fields else [])
 
 
-def compare_all(lake: Lake, years: Iterable[int]) -> None:
+def compare_all(lake: Lake, years: Iterable[int], proof_state: str | None) -> None:
     """Every pair of releases; fields only between the first and the last."""
     for year in years:
-        for i, earlier in enumerate(RELEASES):
-            for later in RELEASES[i + 1 :]:
-                ends = (earlier, later) == (RELEASES[0], RELEASES[-1])
-                compare_releases(lake, year, earlier, later, fields=ends)
+        _compare(lake, year, list(combinations(RELEASES, 2)), proof_state, [(RELEASES[0], RELEASES[-1])])
+
+
+def _compare(lake: Lake, year: int, pairs: list[tuple[str, str]], proof_state: str | None, with_fields: list[tuple[str, str]]) -> None:
+    """The pairs of one year from one tally: each release is read once, whatever the number of pairs."""
+    for earlier, later in pairs:
+        if maturity(earlier) >= maturity(later):
+            raise ValueError(f"{earlier!r} does not precede {later!r}")
+    rows = {r: comparable_rows(_at(lake.raw(), year, r)) for r in dict.fromkeys(r for pair in pairs for r in pair)}
+    counted = stage(R.tally(R.tag_releases(rows, COMPARED), list(rows), COMPARED, carry=CARRIED), "tally")
+    diffs = {pair: R.pair_of(counted, *pair) for pair in pairs}
+    if proof_state is not None:
+        for (earlier, later), diff in diffs.items():
+            slices = [rows[r].where(F.col("state_code") == proof_state) for r in (earlier, later)]
+            proof = R.multiset_proof(*slices, COMPARED, ["state_code"], diff.where(F.col("state_code") == proof_state))
+            if proof.where(~F.col("agrees")).limit(1).count():
+                raise ProofFailed(f"{year} {earlier} to {later} in {proof_state}")
+    for (earlier, later), diff in diffs.items():
+        results = {
+            "rows": R.changed_only(diff),
+            "entities": R.entity_rollup(diff, ["lei"]),
+            "summary": R.pair_summary(diff),
+        }
+        if (earlier, later) in with_fields:
+            changes = R.weighted_changes(rows[earlier], rows[later], COMPARED, diff=diff)
+            results["fields"] = R.attribute_fields(changes, COMPARED)
+        partition = {"year": year, "from_release": earlier, "to_release": later}
+        for name, df in results.items():
+            P.publish(df, lake.path(f"revisions/{name}"), partition)
 
 
 def run_checks(
@@ -308,7 +306,7 @@ def run_checks(
         parts.append(finding(verdict, "lenders", said(F.col("cells"), "lenders,", F.col("differing"), "differ")))
     run = reduce(DataFrame.unionByName, parts).withColumn("run_at", F.current_timestamp())
     staged = stage(run.select("run_at", "year", "check_name", "passed", "detail"), "checks")
-    P.append_log(staged, lake.path("checks"))
+    commits.append(staged, lake.path("checks"))
     return staged
 
 
@@ -365,7 +363,7 @@ def export(lake: Lake, target: str, metro_names: DataFrame, lender_names: DataFr
     )
     sections = {
         "about": about,
-        "loads": lake.log("load_log", LOAD_LOG).orderBy("year", "release"),
+        "loads": lake.log("load_log", LOAD_LOG).drop("commit").orderBy("year", "release"),
         "releases": lake.registry().orderBy("frozen_at", "year", "maturity"),
         "checks": Q.last_run(checks).orderBy("year", "check_name"),
         "price_income_national": prices.where(F.col("grain") == "national").orderBy("year"),

@@ -179,7 +179,7 @@ def test_checks_gate_marts_and_export(lake, spark, tmp_path):
     impact = {r["release"]: r["records"] for r in spark.read.parquet(lake.path("marts/impact")).collect()}
     assert impact == {"snapshot": 5, "three_year": 5}
 
-    flow.compare_releases(lake, 2021, "snapshot", "three_year")
+    flow.compare_releases(lake, 2021, "snapshot", "three_year", "VT")
     summary = spark.read.parquet(lake.path("revisions/summary")).first()
     assert (summary["before"], summary["after"], summary["entered"], summary["left"]) == (5, 5, 1, 1)
     assert [(r["field"], r["pairs"]) for r in spark.read.parquet(lake.path("revisions/fields")).collect()] == [("income", 1)]
@@ -193,6 +193,6 @@ def test_checks_gate_marts_and_export(lake, spark, tmp_path):
 
 def test_comparison_refuses_a_wrong_pair(lake):
     with pytest.raises(ValueError):
-        flow.compare_releases(lake, 2021, "three_year", "snapshot")
+        flow.compare_releases(lake, 2021, "three_year", "snapshot", None)
     with pytest.raises(ValueError):
-        flow.compare_releases(lake, 2021, "snapshot", "final'; --")
+        flow.compare_releases(lake, 2021, "snapshot", "final'; --", None)

@@ -6,6 +6,8 @@ import os
 import subprocess
 import sys
 import tempfile
+from concurrent.futures import ThreadPoolExecutor
+from datetime import timedelta
 from pathlib import Path
 
 import pytest
@@ -16,6 +18,7 @@ from civiclake.operators.quality import guarded
 from civiclake.plans import layout as Y
 from civiclake.plans import views as V
 from civiclake.sources import catalog as C
+from civiclake.sources import commits
 from civiclake.sources import export as X
 from civiclake.sources import landing as L
 from civiclake.sources import publishing as P
@@ -90,6 +93,58 @@ def test_refused_and_failed_writes_keep_the_old_rows(spark, tmp_path):
     assert sorted(r["id"] for r in P.read_current(spark, root, df.schema).collect()) == list(range(5))
 
 
+def test_writers_at_once_get_one_order(spark, tmp_path):
+    root = str(tmp_path / "t")
+
+    def writes(who):
+        for i in range(4):
+            df = spark.range(10 * who + i + 1).withColumn("yr", F.lit(1))
+            P.publish(df, root, {"yr": 1 if i % 2 else who}, 10 * who + i + 1)
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(writes, (1, 2, 3)))
+    log = commits.read(spark, f"{root}/{P.VERSIONS}", "place string, version string, rows long").orderBy("commit").collect()
+    assert [r.commit for r in log] == list(range(1, 13))
+    schema = spark.range(1).withColumn("yr", F.lit(1)).schema
+    for at in (*range(1, 13), None):  # every state is readable, and its rows are those of the last commits
+        last = {r.place: r.rows for r in log if at is None or r.commit <= at}
+        found = {f"yr={r.yr}": r["count"] for r in P.read_current(spark, root, schema, at).groupBy("yr").count().collect()}
+        assert found == last
+
+
+def test_a_number_is_given_once_and_clocks_decide_nothing(spark, tmp_path):
+    path = str(tmp_path / "n" / "00007")
+    assert commits.create_if_absent(spark, path, "one") and not commits.create_if_absent(spark, path, "two")
+    assert Path(path).read_text() == "one" and [p.name for p in (tmp_path / "n").iterdir()] == ["00007"]
+    log = str(tmp_path / "log")
+    assert commits.read(spark, log, "x long").count() == 0 and commits.last_commit(spark, log) == 0
+    rows = spark.createDataFrame([(1,), (2,)], "x long")
+    commits.append(rows.withColumn("at", F.lit("2030-01-01")), log)
+    commits.append(rows.where("x = 2").withColumn("at", F.lit("1999-01-01")), log)
+    rows.withColumn("at", F.lit("x")).write.parquet(f"{log}/entries/entry=unfinished")  # a writer that died before it got a number
+    assert sorted(map(tuple, commits.read(spark, log, "x long, at string").collect())) == [(1, "2030-01-01", 1), (2, "1999-01-01", 2), (2, "2030-01-01", 1)]
+    assert commits.read(spark, log, "x long", up_to=1).count() == 2
+
+
+def test_retired_versions(spark, tmp_path):
+    root = str(tmp_path / "t")
+    df = spark.createDataFrame([(i, y) for y in (1, 2) for i in range(4)], "id long, yr int")
+    P.publish_all(df, root, "yr")
+    for n in (3, 2, 1):
+        P.publish(df.where(f"yr = 1 AND id < {n}"), root, {"yr": 1})
+    with pytest.raises(L.LoadRefused):
+        P.publish(df.where("yr = 1"), root, {"yr": 1}, 99)
+    folders = lambda: sum(1 for _ in Path(root).glob("yr=*/version=*"))
+    assert folders() == 6 and P.retire(spark, root).count() == 0 and folders() == 6  # all are younger than the grace time
+    gone = P.retire(spark, root, keep=[2], grace=timedelta(0)).collect()
+    # Of year 1: the versions of commits 1 and 3, and the refused one; commit 2 is still read.
+    assert sorted((r.place, r.was_published) for r in gone) == [("yr=1", False), ("yr=1", True), ("yr=1", True)] and folders() == 3
+    assert P.read_current(spark, root, df.schema).where("yr = 1").count() == 1
+    assert P.read_current(spark, root, df.schema, at=2).where("yr = 1").count() == 3
+    assert P.read_current(spark, root, df.schema).where("yr = 2").count() == 4
+    assert P.retire(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_scratch_without_a_named_folder():
     code = (
         "from pyspark.sql import SparkSession\n"
