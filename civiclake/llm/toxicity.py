@@ -2,9 +2,10 @@
 
 Training, from document labels alone:
 
-1. Cues. A word and its prefixes are cues; each cue's documents are counted by label over all
-   labelled documents. Its log odds are drawn towards zero by their uncertainty and kept if it
-   stands in at least `MIN_DOCS` documents.
+1. Cues. A word and its prefixes are cues, known by 64-bit hashes; each cue's documents are counted by
+   label. Its log odds are drawn towards zero by their uncertainty and kept if it stands in at least
+   `MIN_DOCS` documents. Of more than `LABELLED` labelled documents about that many teach, those with
+   the smallest hashes, so what is kept of them is bounded without a limit of its own.
 2. Token labels. A token of a toxic document is toxic if its strongest cue has log odds of at least
    `SURE`; all other tokens are not. Documents that fit what follows are read with log odds from
    the other folds, so that a document's own words do not speak for its label.
@@ -21,19 +22,25 @@ matrices of all lanes advance together, so a long document costs what many short
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civiclake.llm.chunks import byte_values, words
+from civiclake.operators.digests import bitmap_of, within
 from civiclake.sources.scratch import stage
 
-#: Documents a cue must stand in, and how many cues may be kept: those with the strongest log odds.
-MIN_DOCS, MAX_CUES = 4, 100_000
+#: Labelled documents that teach, about, if there are more.
+LABELLED = 100_000
+#: Documents a cue must stand in.
+MIN_DOCS = 4
 #: Parts of the labelled documents; what describes a document of one part comes from the others.
 FOLDS = 3
 #: Standard errors by which log odds are drawn towards zero.
@@ -43,7 +50,7 @@ SURE = 1.0
 #: Labelled documents of each label, at most, that fit the field and the curve.
 FIT_DOCS = {0: 1500, 1: 750}
 #: Tokens whose marginals are computed at once while fitting, about (whole documents).
-FIT_PORTION = 100_000
+FIT_PORTION = 400_000
 #: Lengths of the prefixes, in bytes, that are cues beside the whole word.
 PREFIXES = (4, 5, 6, 7)
 _EDGES = np.array([-2.0, -1.0, -0.5, -0.1, 0.1, 0.5, 1.0, 1.5, 2.0, 2.5, 3.0, 3.5, 4.5])
@@ -53,47 +60,107 @@ CLASSES = len(_EDGES) + 2  # one for tokens without any cue
 def cues(word: bytes) -> list[bytes]:
     """The whole word, marked by an end, and its beginnings."""
     core = word.strip(b".,;:!?()[]\"'|*%&$#-_")
-    return [core + b"\0", *(core[:n] for n in PREFIXES if len(core) >= n)]
+    if len(core) >= PREFIXES[-1]:
+        return [core + b"\0", *[core[:n] for n in PREFIXES]]
+    return [core + b"\0", *[core[:n] for n in PREFIXES if len(core) >= n]]
 
 
-def _document_cues(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def cue_hashes(word: bytes) -> list[int]:
+    """The cues as signed 64-bit numbers."""
+    return [h - (h >> 63 << 64) for h in map(xxhash.xxh64_intdigest, cues(word))]
+
+
+class _CueHashes(dict):
+    """The cues of the words a task has met, emptied when full."""
+
+    def __missing__(self, word: bytes) -> list[int]:
+        if len(self) >= 200_000:
+            self.clear()
+        found = cue_hashes(word)
+        if len(word) <= 64:
+            self[word] = found
+        return found
+
+
+#: Cues a task holds before it hands on their counts.
+HELD_CUES = 1_000_000
+
+#: Counters of a cue: its documents by part and label.
+_COUNTERS = [f"n{fold}{label}" for fold in range(FOLDS) for label in (0, 1)]
+
+
+def _cue_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many documents of each part and label have a cue, summed over up to `HELD_CUES` cues."""
+    known, found, codes, held = _CueHashes(), [], [], 0
+
+    def counts() -> pa.RecordBatch:
+        hashes, inverse = np.unique(np.concatenate(found), return_inverse=True)
+        table = np.bincount(inverse * len(_COUNTERS) + np.repeat(codes, [len(f) for f in found]), minlength=len(hashes) * len(_COUNTERS))
+        return pa.RecordBatch.from_arrays([pa.array(hashes), *(pa.array(c) for c in table.reshape(len(hashes), -1).T.copy())], ["cue", *_COUNTERS])
+
     for batch in batches:
-        row, found = [], []
-        for number, data in enumerate(byte_values(batch.column("text"))):
-            own = {cue for word in set(words(data.lower() if data else None)) for cue in cues(word)}
-            found += own
-            row += [number] * len(own)
-        part = batch.select(["toxic", "fold"]).take(pa.array(row, pa.int64()))
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), *part.columns], ["cue", "toxic", "fold"])
+        for data, toxic, fold in zip(byte_values(batch.column("text")), batch.column("toxic").to_pylist(), batch.column("fold").to_pylist(), strict=True):
+            own = {cue for word in set(words(data.lower() if data else None)) for cue in known[word]}
+            found.append(np.fromiter(own, np.int64, len(own)))
+            codes.append(2 * fold + toxic)
+            held += len(own)
+            if held >= HELD_CUES:
+                yield counts()
+                found, codes, held = [], [], 0
+    if found:
+        yield counts()
 
 
-class Lexicon(dict):
-    """Classes of words by the log odds of their cues, kept per worker.
+@dataclass
+class Odds:
+    """Hashes of cues, and the classes of their log odds: from all documents, then without each fold."""
 
-    `odds` has a tuple for each cue: from all documents, then without each fold; `which` of them
-    holds here.
-    """
+    cues: np.ndarray
+    classes: np.ndarray
 
-    def __init__(self, odds: dict[bytes, tuple[float, ...]], which: int = 0, limit: int = 500_000):
+
+#: What a word says in one byte: the class of its strongest cue, times CLASSES, and that of its weakest.
+UNKNOWN = CLASSES * CLASSES - 1
+
+
+class Lexicon(dict):
+    """The bytes of words by the log odds of their cues, kept per worker; `which` of the odds holds here."""
+
+    def __init__(self, odds: Odds, which: int = 0, limit: int = 500_000):
         super().__init__()
-        self.odds, self.which, self.limit = odds, which, limit
+        self.known = dict(zip(odds.cues.astype(np.uint64).tolist(), odds.classes[:, which].tolist(), strict=True))
+        self.limit = limit
 
-    def __missing__(self, word: bytes) -> tuple[int, int]:
-        known = [self.odds[cue][self.which] for cue in cues(word) if cue in self.odds]
-        pair = (CLASSES - 1, CLASSES - 1)
-        if known:
-            pair = tuple(int(i) for i in np.searchsorted(_EDGES, (max(known), min(known))))
+    def __missing__(self, word: bytes) -> int:
+        known = self.known
+        found = [known[cue] for cue in map(xxhash.xxh64_intdigest, cues(word)) if cue in known]
+        code = max(found) * CLASSES + min(found) if found else UNKNOWN
         if len(self) >= self.limit:
             self.clear()
         if len(word) <= 64:
-            self[word] = pair
-        return pair
+            self[word] = code
+        return code
+
+    def codes(self, own: list[bytes]) -> np.ndarray:
+        return np.frombuffer(bytes(map(self.__getitem__, own)), np.uint8)
 
     def classes(self, own: list[bytes]) -> np.ndarray:
         """Two rows: the class of the strongest and of the weakest cue of each word."""
-        if not own:
-            return np.empty((2, 0), np.int64)
-        return np.array(list(map(self.__getitem__, own)), dtype=np.int64).T
+        return np.stack(np.divmod(self.codes(own).astype(np.int64), CLASSES))
+
+
+def emissions(codes: np.ndarray, first: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The summed weights of the tokens' features, from the bytes of their words."""
+    wide = CLASSES + 1
+    strong, weak = np.divmod(np.arange(UNKNOWN + 1), CLASSES)
+    own, before, after = weights[strong] + weights[wide + weak], weights[2 * wide + strong], weights[3 * wide + strong]
+    none_before, none_after = weights[2 * wide + CLASSES], weights[3 * wide + CLASSES]
+    found = own[codes]
+    found[1:] += np.where(first[1:], none_before, before[codes[:-1]])
+    found[:-1] += np.where(first[1:], none_after, after[codes[1:]])
+    found[0] += none_before
+    found[-1] += none_after
+    return found
 
 
 def features(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -116,7 +183,7 @@ FEATURES = 4 * (CLASSES + 1)
 class Field:
     """Weights of the toxic tag, log potentials of tag pairs, of the first tag, and the curve."""
 
-    odds: dict[bytes, tuple[float, ...]]
+    odds: Odds
     weights: np.ndarray
     pairs: np.ndarray
     start: np.ndarray
@@ -125,60 +192,79 @@ class Field:
     scale: np.ndarray
 
 
-def marginals(emission: np.ndarray, first: np.ndarray, pairs: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """Probability of the toxic tag and of each tag pair (four columns, from the previous token),
-    and the summed log partition functions of all documents.
+#: Emissions beyond this are as good as certain; their exponentials stay finite.
+_CERTAIN = 200.0
+
 
-    Step t turns the forward vector by M_t[i, j] = pair(i, j) * emission_t(j); at a document's first
-    token M_t[i, j] = start(j) * emission_t(j), which forgets what came before.
+def marginals(
+    emission: np.ndarray, first: np.ndarray, pairs: np.ndarray, start: np.ndarray, with_pairs: bool = True
+) -> tuple[np.ndarray, np.ndarray | None, float]:
+    """Probability of the toxic tag and of each tag pair (four columns, from the previous token; of no
+    meaning at first tokens), and the summed log partition functions of all documents.
+
+    With two tags the forward and the backward vector are one ratio each, toxic over not. Token t turns the
+    ratio r into E (p01 + p11 r) / (p00 + p10 r), E being its exponential emission; at a document's first token
+    it is E s1 / s0, whatever came before. Lanes learn the ratio they start with from the products of the
+    lanes before them.
     """
     n = len(emission)
     lanes = max(1, int(np.sqrt(n)))
     length = -(-n // lanes)
-    padded = lanes * length
-    e = np.zeros(padded)
-    e[:n] = emission
-    f = np.ones(padded, bool)
-    f[:n] = first
-    boost = np.maximum(e, 0)
-    tag = np.exp(np.stack([-boost, e - boost], axis=1))  # potentials, the larger one being 1
-    steps = np.where(f[:, None, None], np.exp(start)[None, None, :], np.exp(pairs)[None]) * tag[:, None, :]
-    steps = steps.reshape(lanes, length, 2, 2)
-
-    # The product of each lane, then what reaches each lane from the left and from the right.
-    product = np.tile(np.eye(2), (lanes, 1, 1))
+    e, f = np.zeros(lanes * length), np.ones(lanes * length, bool)
+    e[:n], f[:n] = np.clip(emission, -_CERTAIN, _CERTAIN), first
+    steps, begins = (x.reshape(lanes, length).T.copy() for x in (np.exp(e), f))
+    some = begins.any(axis=1)
+    (p00, p01), (p10, p11) = np.exp(pairs)
+    s0, s1 = np.exp(start)
+
+    # Products of the lanes' steps: a, b lead from the clean tag, c, d from the toxic one.
+    a, b, c, d = np.ones(lanes), np.zeros(lanes), np.zeros(lanes), np.ones(lanes)
     for t in range(length):
-        product = product @ steps[:, t]
-        product /= product.sum(axis=(1, 2), keepdims=True)
-    left, right = np.empty((lanes, 2)), np.empty((lanes, 2))
-    vector = np.array([0.5, 0.5])
-    for lane in range(lanes):
-        left[lane] = vector
-        vector = vector @ product[lane]
-        vector /= vector.sum()
-    vector = np.ones(2)
-    for lane in range(lanes - 1, -1, -1):
-        right[lane] = vector
-        vector = product[lane] @ vector
-        vector /= vector.sum()
-
-    before, log_scale = np.empty((lanes, length, 2)), np.empty((lanes, length))
-    vector = left
+        own, here = steps[t], begins[t]
+        new = [a * p00 + b * p10, (a * p01 + b * p11) * own, c * p00 + d * p10, (c * p01 + d * p11) * own]
+        if some[t]:
+            for i, total in ((0, a + b), (2, c + d)):
+                new[i], new[i + 1] = np.where(here, total * s0, new[i]), np.where(here, total * s1 * own, new[i + 1])
+        scale = 1 / (new[0] + new[1] + new[2] + new[3])
+        a, b, c, d = (x * scale for x in new)
+    left, right = np.empty(lanes), np.empty(lanes)
+    clean, toxic, tiny = 0.5, 0.5, 1e-300
+    product = list(zip(a.tolist(), b.tolist(), c.tolist(), d.tolist(), strict=True))
+    for lane, (a, b, c, d) in enumerate(product):
+        left[lane] = toxic / max(clean, tiny)
+        clean, toxic = clean * a + toxic * c, clean * b + toxic * d
+        clean, toxic = clean / (clean + toxic), toxic / (clean + toxic)
+    clean, toxic = 0.5, 0.5
+    for lane, (a, b, c, d) in zip(range(lanes - 1, -1, -1), reversed(product), strict=True):
+        right[lane] = toxic / max(clean, tiny)
+        clean, toxic = a * clean + b * toxic, c * clean + d * toxic
+        clean, toxic = clean / (clean + toxic), toxic / (clean + toxic)
+
+    before, ratio, after = np.empty_like(steps), np.empty_like(steps), np.empty_like(steps)
+    r = left
     for t in range(length):
-        before[:, t] = vector
-        vector = np.einsum("li,lij->lj", vector, steps[:, t])
-        total = vector.sum(axis=1)
-        log_scale[:, t] = np.log(total)
-        vector = vector / total[:, None]
-    both = np.empty((lanes, length, 2, 2))
-    vector = right
+        before[t] = r
+        r = steps[t] * (p01 + p11 * r) / (p00 + p10 * r)
+        if some[t]:
+            r = np.where(begins[t], steps[t] * (s1 / s0), r)
+        ratio[t] = r
+    r = right
     for t in range(length - 1, -1, -1):
-        joint = before[:, t, :, None] * steps[:, t] * vector[:, None, :]
-        both[:, t] = joint / joint.sum(axis=(1, 2), keepdims=True)
-        vector = np.einsum("lij,lj->li", steps[:, t], vector)
-        vector = vector / vector.sum(axis=1, keepdims=True)
-    both = both.reshape(padded, 4)[:n]
-    return np.minimum(both[:, 1] + both[:, 3], 1.0), both, float(log_scale.reshape(-1)[:n].sum() + boost[:n].sum())
+        after[t] = r
+        r = steps[t] * r
+        r = (p10 + p11 * r) / (p00 + p01 * r)
+        if some[t]:
+            r = np.where(begins[t], 1.0, r)
+    steps, before, ratio, after = (x.T.reshape(-1)[:n] for x in (steps, before, ratio, after))
+    odds = ratio * after
+    last = np.append(first[1:], True)
+    log_z = np.log(p00 + p10 * before[~first]).sum() + first.sum() * float(start[0]) + np.log1p(ratio[last]).sum()
+    both = None
+    if with_pairs:
+        both = np.empty((n, 4))
+        both[:, 0], both[:, 1], both[:, 2], both[:, 3] = p00, p01 * steps * after, before * p10, before * p11 * steps * after
+        both /= both.sum(axis=1, keepdims=True)
+    return odds / (1 + odds), both, float(log_z)
 
 
 def _fit_portions(chains: list[np.ndarray], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -264,7 +350,7 @@ def fitting_rows(rows: DataFrame) -> DataFrame:
 def train(labelled: DataFrame) -> Field:
     """Fit on rows `text`, `toxic` (0 or 1). Rows with a null text or label teach nothing.
 
-    Without documents of both labels the field has no cues and all scores are the share of toxic ones.
+    What reaches the driver is the counts and cues of at most about `LABELLED` documents, and the fitting ones. Without documents of both labels the field has no cues and all scores are the share of toxic ones.
     """
     rows = stage(
         labelled.where(F.col("text").isNotNull() & F.col("toxic").isin(0, 1)).select(
@@ -272,37 +358,32 @@ def train(labelled: DataFrame) -> Field:
         ),
         "labelled",
     )
+    if (share := LABELLED / max(rows.count(), 1)) < 1:
+        rows = rows.where(F.xxhash64(F.lit("teaches"), "text") < int(share * 2**64) - 2**63)
     totals = {(r["fold"], r["toxic"]): r["count"] for r in rows.groupBy("fold", "toxic").count().collect()}
     bad, good = (sum(n for (_, label), n in totals.items() if label == which) for which in (1, 0))
-    flat = Field({}, np.zeros(FEATURES), np.zeros((2, 2)), np.zeros(2), np.zeros(5), np.zeros(4), np.ones(4))
+    flat = Field(Odds(np.empty(0, np.int64), np.empty((0, 1 + FOLDS), np.uint8)), np.zeros(FEATURES), np.zeros((2, 2)), np.zeros(2), np.zeros(5), np.zeros(4), np.ones(4))
     if not bad or not good:
         flat.curve[0] = 6.0 if bad else -6.0
         return flat
 
     def log_odds(left_out: int | None):
         """Of a cue, from the documents outside one fold."""
-        used = F.lit(True) if left_out is None else F.col("fold") != left_out
-        a = F.sum(F.when(used, F.col("toxic")).otherwise(0)) + 0.5
-        b = F.sum(F.when(used, 1 - F.col("toxic")).otherwise(0)) + 0.5
+        a, b = (sum((F.col(f"n{fold}{label}") for fold in range(FOLDS) if fold != left_out), F.lit(0.5)) for label in (1, 0))
         n_bad, n_good = (bad, good) if left_out is None else (bad - totals.get((left_out, 1), 0), good - totals.get((left_out, 0), 0))
         plain = F.log(a / (n_bad + 1)) - F.log(b / (n_good + 1))
         return F.signum(plain) * F.greatest(F.abs(plain) - DOUBT * F.sqrt(1 / a + 1 / b), F.lit(0.0))
 
     table = (
-        rows.mapInArrow(_document_cues, "cue binary, toxic long, fold long")
+        rows.mapInArrow(_cue_counts, ", ".join(f"{c} long" for c in ("cue", *_COUNTERS)))
         .groupBy("cue")
-        .agg(
-            F.count(F.lit(1)).alias("docs"),
-            log_odds(None).alias("odds"),
-            *(log_odds(fold).alias(f"odds{fold}") for fold in range(FOLDS)),
-        )
-        .where(F.col("docs") >= MIN_DOCS)
-        .where("odds <> 0")
-        .drop("docs")
-        .orderBy(F.abs("odds").desc(), "cue")
-        .limit(MAX_CUES)
+        .agg(*(F.sum(c).alias(c) for c in _COUNTERS))
+        .where(sum((F.col(c) for c in _COUNTERS), F.lit(0)) >= MIN_DOCS)
+        .select("cue", *(log_odds(fold).alias(f"odds{i}") for i, fold in enumerate([None, *range(FOLDS)])))
+        .where("odds0 <> 0")
+        .toArrow()
     )
-    odds = {bytes(r[0]): tuple(r[1:]) for r in table.collect()}
+    odds = Odds(table["cue"].to_numpy(), np.column_stack([np.searchsorted(_EDGES, table[f"odds{i}"].to_numpy()) for i in range(1 + FOLDS)]).astype(np.uint8))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = [Lexicon(odds, fold + 1) for fold in range(FOLDS)]
@@ -335,15 +416,15 @@ def train(labelled: DataFrame) -> Field:
     return Field(odds, weights, pairs, start, curve, centre, scale)
 
 
-def _tagged(field: Field, lexicon: Lexicon, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
+def _tagged(field: Field, lexicon: Lexicon, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     """Marginals of all tokens of some documents, and where each document starts. A document
     without words counts as one unknown token."""
     split = [words(data.lower() if data else None) or [b""] for data in texts]
     first = np.zeros(sum(map(len, split)), bool)
     first[np.cumsum([0, *map(len, split[:-1])])] = True
-    feats = features(lexicon.classes([word for own in split for word in own]), first)
-    toxic, _, _ = marginals(field.weights[feats].sum(axis=0), first, field.pairs, field.start)
-    return toxic, first, split
+    codes = lexicon.codes([word for own in split for word in own])
+    toxic, _, _ = marginals(emissions(codes, first, field.weights), first, field.pairs, field.start, with_pairs=False)
+    return toxic, first
 
 
 def _portions(column: pa.Array, size: int = 2_000_000) -> Iterator[list[bytes | None]]:
@@ -370,59 +451,73 @@ def _lexicon(shared) -> tuple[Field, Lexicon]:
     return _worker["field"], _worker["lexicon"]
 
 
-def score(docs: DataFrame, field: Field, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+def score(docs: DataFrame, field: Field, *, key: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
     """`key`, `score` (0 to 1), `n_toxic` (expected toxic tokens) and `spans` of every row of `docs`.
 
-    A span is (start, stop) in bytes of the UTF-8 text with runs of white space as one blank: a
-    maximal stretch of tokens whose marginal is at least one half. Null, empty and blank texts are
-    one unknown token. Texts of any length are scored whole. Repeated rows and null keys stay as
-    they are; other columns are ignored; an empty table gives an empty result.
+    A span is (start, stop) in bytes of the UTF-8 text: a maximal stretch of tokens whose marginal is at
+    least one half. Null, empty and blank texts are one unknown token. Texts of any length are scored
+    whole. Repeated rows and null keys stay as they are; other columns are ignored; an empty table gives
+    an empty result. With `with_text` the texts come along.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(field)  # at most MAX_CUES cues
-    kind = docs.schema[key].dataType.simpleString()
+    shared = docs.sparkSession.sparkContext.broadcast(field)  # 12 bytes a cue; LABELLED bounds them
+    kind = T.StructType(
+        [
+            T.StructField("key", docs.schema[key].dataType),
+            T.StructField("score", T.DoubleType()),
+            T.StructField("n_toxic", T.DoubleType()),
+            T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))),
+            *([T.StructField("text", T.StringType())] if with_text else []),
+        ]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, lexicon = _lexicon(shared)
         for batch in batches:
             scores, expected, spans = [], [], []
             for portion in _portions(batch.column("text")):
-                toxic, first, split = _tagged(own, lexicon, portion)
+                toxic, first = _tagged(own, lexicon, portion)
                 x = (summaries(toxic, first) - own.centre) / own.scale
                 scores.append(1 / (1 + np.exp(-np.clip(own.curve[0] + x @ own.curve[1:], -30, 30))))
                 at = np.flatnonzero(first)
                 expected.append(np.add.reduceat(toxic, at))
                 hits = toxic >= 0.5
-                for start, some, document in zip(at.tolist(), np.logical_or.reduceat(hits, at).tolist(), split, strict=True):
-                    spans.append(_spans(document, hits[start : start + len(document)]) if some else [])
+                for start, some, data in zip(at.tolist(), np.logical_or.reduceat(hits, at).tolist(), portion, strict=True):
+                    spans.append(_spans(data, hits[start:]) if some else [])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("key"),
                     pa.array(np.concatenate(scores) if scores else [], pa.float64()),
                     pa.array(np.concatenate(expected) if expected else [], pa.float64()),
                     pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
+                    *([batch.column("text")] if with_text else []),
                 ],
-                ["key", "score", "n_toxic", "spans"],
+                ["key", "score", "n_toxic", "spans", *(["text"] if with_text else [])],
             )
 
     return (
         docs.select(docs[key].alias("key"), docs[text].alias("text"))
-        .mapInArrow(run, f"key {kind}, score double, n_toxic double, spans array<struct<start:bigint,stop:bigint>>")
+        .mapInArrow(run, kind)
         .withColumnRenamed("key", key)
     )
 
 
-def _spans(own: list[bytes], hits: np.ndarray) -> list[dict]:
-    ends = np.cumsum([len(w) + 1 for w in own]) - 1
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], hits, [False]])))
-    return [
-        {"start": int(ends[a] - len(own[a])), "stop": int(ends[b - 1])} for a, b in zip(edges[::2], edges[1::2], strict=True)
-    ]
+_token = re.compile(rb"[^\x20\x09-\x0d]+")
+
+
+def _spans(data: bytes | None, hits: np.ndarray) -> list[dict]:
+    """The stretches of tokens that `hits`, which starts with those of this text, says are toxic."""
+    places = [m.span() for m in _token.finditer(data or b"")] or [(0, len(data or b""))]
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], hits[: len(places)], [False]])))
+    return [{"start": places[a][0], "stop": places[b - 1][1]} for a, b in zip(edges[::2], edges[1::2], strict=True)]
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """`text`, `toxic` of the labelled documents outside the held-out third."""
-    mine = labels.where((F.crc32(F.col("doc_id").cast("string")) % 3 != 1) & F.col("toxic").isNotNull())
-    return docs.select("doc_id", "text").join(mine.select("doc_id", "toxic").distinct(), "doc_id").select("text", "toxic")
+    teaches = (F.crc32(F.col("doc_id").cast("string")) % 3 != 1) & F.col("toxic").isNotNull()
+    mine = stage(labels.where(teaches).select("doc_id", "toxic").distinct(), "teaching-labels")
+    # Only texts with a label move, and by one plan at every size.
+    named = within(docs.where("doc_id is not null").select("doc_id", "text"), F.xxhash64(F.col("doc_id").cast("long")), bitmap_of(mine.select(F.xxhash64(F.col("doc_id").cast("long")).alias("h")), "h"))
+    return named.join(mine.hint("merge"), "doc_id").select("text", "toxic")
 
 
 #: Score from which a document counts as toxic.

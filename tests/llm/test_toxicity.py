@@ -35,6 +35,15 @@ def test_marginals_against_all_taggings(sizes):
     assert np.isclose(log_z, total)
 
 
+def test_emissions_are_the_features_weights():
+    rng = np.random.default_rng(2)
+    weights, codes = rng.normal(size=toxicity.FEATURES), rng.integers(0, toxicity.UNKNOWN, 60, endpoint=True).astype(np.uint8)
+    first = rng.random(60) < 0.2
+    first[0] = True
+    classes = np.stack(np.divmod(codes.astype(np.int64), toxicity.CLASSES))
+    assert np.allclose(toxicity.emissions(codes, first, weights), weights[toxicity.features(classes, first)].sum(axis=0))
+
+
 def test_long_chains_stay_finite():
     rng = np.random.default_rng(0)
     toxic, _, log_z = toxicity.marginals(rng.normal(size=50_000) * 30, np.arange(50_000) == 0, np.array([[3.0, -9], [-9, 3]]), np.zeros(2))
@@ -65,10 +74,36 @@ def test_odd_rows_and_spans(spark):
     got = sorted(toxicity.score(docs, field).collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0))
     assert [r.doc_id for r in got] == [1, 2, 3, 3, 4, None]
     assert got[0].score > 0.7 > max(r.score for r in got[1:])
-    assert [tuple(s) for s in got[0].spans][0] == (2, 6) and all(not r.spans for r in got[1:])
+    assert [tuple(s) for s in got[0].spans][0] == (2, 6)
+    spaced = b"  a\n\nVILE   thing \xc3\xa4 vile1x."
+    spans = toxicity.score(spark.createDataFrame([(1, spaced.decode())], "doc_id long, text string"), field).first().spans
+    assert {spaced[s.start : s.stop].split()[0] for s in spans} <= {b"VILE", b"vile1x."} and spans[0].start == 5
+    assert all(not r.spans for r in got[1:]) and [tuple(s) for s in got[0].spans][0] == (2, 6) and all(not r.spans for r in got[1:])
     assert toxicity.score(docs.limit(0), field).count() == 0
 
 
+def test_cues_are_counted_by_documents(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "HELD_CUES", 50)
+    rows = [(f"alpha beta{i % 3} alpha gamma{i}", i % 2, i % 3) for i in range(60)]
+    table = spark.createDataFrame(rows, "text string, toxic long, fold long").coalesce(3)
+    counted = table.mapInArrow(toxicity._cue_counts, ", ".join(f"{c} long" for c in ("cue", *toxicity._COUNTERS)))
+    got = {r[0]: list(r[1:]) for r in counted.groupBy("cue").sum().drop("sum(cue)").collect()}
+    want = {}
+    for text, toxic, fold in rows:
+        for cue in {h for w in text.encode().split() for h in toxicity.cue_hashes(w)}:
+            want.setdefault(cue, [0] * 6)[2 * fold + toxic] += 1
+    assert got == want
+
+
+def test_a_share_of_many_labelled_documents_teaches(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "LABELLED", 120)
+    rows = [(f"the quiet garden number n{i} was green", 0) for i in range(300)] + [(f"the vile{i % 7}x person n{i} was vile", 1) for i in range(200)]
+    field = toxicity.train(spark.createDataFrame(rows, "text string, toxic int"))
+    assert 0 < len(field.odds.cues) < 200
+    docs = spark.createDataFrame([(1, "a vile person"), (2, "the quiet garden")], "doc_id long, text string")
+    assert {r.doc_id: r.score > 0.7 for r in toxicity.score(docs, field).collect()} == {1: True, 2: False}
+
+
 def test_one_label_only(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     for value in (0, 1):
