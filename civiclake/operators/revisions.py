@@ -18,6 +18,8 @@ from civiclake.functions.fingerprint import field_hash, row_fingerprint
 from civiclake.operators.digests import bitmap_of, changed_prints, release_prints, within
 from civiclake.sources.scratch import stage
 
+#: Columns that are looked at one by one instead of being halved again.
+HALVED_TO = 8
 #: Copies one generated row may stand for before the copies are spread over the cluster.
 COPIES_PER_ROW = 10_000
 
@@ -191,42 +193,53 @@ def multiset_take(df: DataFrame, columns: Sequence[str], copies: int) -> DataFra
     return repeat_rows(counted, "_times")
 
 
+def _xor(values: Column, start: Column) -> Column:
+    return F.aggregate(values, start, lambda a, x: a.bitwiseXOR(x))
+
+
 def attribute_fields(
     changes: DataFrame, columns: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:
     """Pairs per field: rows that left and rows that entered which differ only in that field.
 
     `changes` are weighted distinct rows (see `weighted_changes`), so copies are never
-    expanded. Each field has a positional hash; the row without field X is the XOR of all
-    of them XOR hash(X). Two 64-bit hashes make accidental equality negligible. There is no
+    expanded. Each field has a positional hash; the row without some fields is the XOR of all
+    of them XOR theirs. Two 64-bit hashes make accidental equality negligible. There is no
     partitioning by any compared field: a correction of that very field would be lost.
+
+    Rows that differ in one field agree in all fields outside the half it lies in. So the columns are halved:
+    a row stays for a half only if a row of the other side agrees with it outside, and only what stays is
+    halved again. Most rows agree with none, and few are ever looked at field by field.
     """
-    hashes = [
-        field_hash(i, c, seed).alias(f"_f{seed}_{i}")
-        for seed in (1, 2)
-        for i, c in enumerate(columns)
-    ]
-    total = {
-        seed: reduce(lambda a, b: a.bitwiseXOR(b), [F.col(f"_f{seed}_{i}") for i in range(len(columns))])
-        for seed in (1, 2)
-    }
-    without = [
-        F.struct(
-            F.lit(c).alias("field"),
-            F.col("_t1").bitwiseXOR(F.col(f"_f1_{i}")).alias("k1"),
-            F.col("_t2").bitwiseXOR(F.col(f"_f2_{i}")).alias("k2"),
+    hashes = {seed: F.array(*[field_hash(i, c, seed) for i, c in enumerate(columns)]) for seed in (1, 2)}
+    rows = changes.select(*by, "entered", "left", hashes[1].alias("_f1"), hashes[2].alias("_f2"))
+    size = len(columns)
+    if size > HALVED_TO:
+        rows = stage(rows, "change-hashes")  # read once for each level
+    zero = F.lit(0).cast("long")
+    rows = rows.select("*", _xor(F.col("_f1"), zero).alias("_t1"), _xor(F.col("_f2"), zero).alias("_t2"), F.lit(0).alias("_lo"), F.lit(size).alias("_hi"))
+    kept, part = rows.columns[:-2], [*by, "_lo", "_hi", "_k1", "_k2"]
+    while size > HALVED_TO:
+        middle = F.floor((F.col("_lo") + F.col("_hi")) / 2).cast("int")
+        halves = F.array(F.struct(F.col("_lo").alias("_lo"), middle.alias("_hi")), F.struct(middle.alias("_lo"), F.col("_hi").alias("_hi")))
+        rows = rows.select(*kept, F.inline(halves)).select(
+            "*", *[_xor(F.slice(f"_f{i}", F.col("_lo") + 1, F.col("_hi") - F.col("_lo")), F.col(f"_t{i}")).alias(f"_k{i}") for i in (1, 2)]
         )
-        for i, c in enumerate(columns)
-    ]
+        met = rows.groupBy(*part).agg(F.sum("entered").alias("entered"), F.sum("left").alias("left")).where("entered > 0 AND `left` > 0")
+        known = F.xxhash64(*[x for c in part for x in (F.isnull(c), F.col(c))])
+        met = stage(met.select(known.alias("part")), "agreeing-halves")
+        rows = within(rows, known, bitmap_of(met, "part")).drop("_k1", "_k2")
+        size = -(-size // 2)
+    fields = rows.select(*by, "entered", "left", "_t1", "_t2", "_f1", "_f2", F.explode(F.sequence("_lo", F.col("_hi") - 1)).alias("_i"))
+    keys = [F.col(f"_t{i}").bitwiseXOR(F.get(f"_f{i}", F.col("_i"))).alias(f"_k{i}") for i in (1, 2)]
     return (
-        changes.select(*by, "entered", "left", *hashes)
-        .select("*", total[1].alias("_t1"), total[2].alias("_t2"))
-        .select(*by, "entered", "left", F.explode(F.array(*without)).alias("w"))
-        .groupBy(*by, F.col("w.field").alias("field"), "w.k1", "w.k2")
+        fields.select(*by, "entered", "left", "_i", *keys)
+        .groupBy(*by, "_i", "_k1", "_k2")
         .agg(F.sum("entered").alias("entered"), F.sum("left").alias("left"))
-        .groupBy(*by, "field")
+        .groupBy(*by, "_i")
         .agg(F.sum(F.least("entered", "left")).alias("pairs"))
         .where(F.col("pairs") > 0)
+        .select(*by, F.get(F.array(*map(F.lit, columns)), F.col("_i")).alias("field"), "pairs")
     )
 
 

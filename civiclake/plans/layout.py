@@ -22,6 +22,17 @@ def folders_opened(table: DataFrame, partition: str, pruning: Column, wanted: Co
     )
 
 
+def opened(asked: DataFrame) -> tuple[int, int]:
+    """Partition folders and files that a question really opens, as its scan counts them; runs the question.
+
+    `asked` is a scan of a partitioned table with conditions and columns chosen, nothing else.
+    """
+    plan = asked._jdf.queryExecution().executedPlan()
+    plan.execute().count()
+    metrics = plan.collectLeaves().head().metrics()
+    return tuple(int(metrics.get(name).get().value()) for name in ("numPartitions", "numFiles"))
+
+
 def as_many_files(stored: DataFrame, at_least: int = 8) -> int:
     """Files for a copy of a stored table: as many as it has, so that tasks stay as small."""
     return max(at_least, stored.select("_metadata.file_path").distinct().count())

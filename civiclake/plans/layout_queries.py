@@ -71,8 +71,15 @@ def _folders(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 def files_read(spark: SparkSession, folder: str) -> DataFrame:
-    """Each folder that a question opens, with its rows and those asked for."""
-    return _folders(spark, folder, "files")
+    """Folders that the scan of each question opened, by its own count, and the rows asked for."""
+    stored = spark.table(_table(spark, folder, "files"))
+    parts = []
+    for label, (pruning, rest) in _ASKED.items():
+        asked = stored.where(f"{pruning} AND {rest}")
+        folders, files = Y.opened(asked.select("app_id"))
+        counted = asked.agg(F.count(F.lit(1)).alias("n_wanted"))
+        parts.append(counted.select(F.lit(label).alias("question"), F.lit(folders).cast("long").alias("folders"), F.lit(files >= folders).alias("has_files"), "n_wanted"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def partition_filters(spark: SparkSession, folder: str) -> DataFrame:
@@ -127,7 +134,8 @@ ORACLE = {
     "ctas_partitioned": "SELECT yr, count(*) AS n, max(app_id) AS last, 'yr' AS partitioned_by FROM apps GROUP BY yr",
     "catalog_register": "SELECT yr, outcome, count(*) AS n FROM apps GROUP BY yr, outcome",
     "pruned_count": f"SELECT question, yr, n_wanted AS n FROM ({_OPENED}) WHERE n_wanted > 0",
-    "files_read": _OPENED,
+    "files_read": "SELECT question, count(*) AS folders, true AS has_files, cast(sum(n_wanted) AS bigint) AS n_wanted "
+    f"FROM ({_OPENED}) GROUP BY question",
     "partition_filters": "SELECT question, min(yr) AS first_yr, max(yr) AS last_yr, cast(sum(n_rows) AS bigint) AS n_rows "
     f"FROM ({_OPENED}) GROUP BY question",
     "pruning_report": "SELECT question, count(*) AS folders, round(sum(n_wanted) / sum(n_rows), 6) AS share_wanted "

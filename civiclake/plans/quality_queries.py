@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from civiclake.operators import quality as Q
 from civiclake.operators import releases as R
+from civiclake.operators.sampling import sample_rows
 from civiclake.plans import views as V
 from civiclake.sources.publishing import append_log
 from civiclake.sources.scratch import new_dir
@@ -69,6 +70,20 @@ def recon_cells(spark: SparkSession, folder: str) -> DataFrame:
     return _compared(spark, folder)
 
 
+def sample_reconciliation(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored sample against golden counts, of which one is one too many and one cell is unknown to the sample."""
+    draw = F.expr("pmod(pmod(app_id, 1000003) * 2654435761, 1000000)")
+    apps = V.apps(spark, folder)
+    kept, path = ["yr", "outcome"], new_dir(spark, "golden-sample")
+    sample_rows(apps, 0.1, draw).select(*kept, "app_id").write.partitionBy("yr").parquet(path)
+    stored = spark.read.schema(sample_rows(apps, 0.1, draw).select("app_id", "outcome", "yr").schema).parquet(path)
+    # Counted from all rows, without the stored sample.
+    golden = apps.groupBy(*kept).agg(F.count_if(draw < 100_000).alias("n")).where("n > 0")
+    shifted = golden.select(*kept, F.expr("n + case when yr = 1997 and outcome = 2 then 1 else 0 end").alias("n"))
+    unknown = golden.where("yr = 1998 AND outcome = 1").select("yr", F.lit(9).cast(apps.schema["outcome"].dataType).alias("outcome"), "n")
+    return Q.reconcile(stored.groupBy(*kept).agg(F.count("*").alias("n")), shifted.unionByName(unknown), kept, "n")
+
+
 def recon_verdict(spark: SparkSession, folder: str) -> DataFrame:
     return Q.reconciliation_verdict(_compared(spark, folder), ["yr"])
 
@@ -169,6 +184,7 @@ QUERIES = {
     "null_audit": null_audit,
     "single_release": single_release,
     "recon_cells": recon_cells,
+    "sample_reconciliation": sample_reconciliation,
     "recon_verdict": recon_verdict,
     "recon_examples": recon_examples,
     "recon_entities": recon_entities,
@@ -221,6 +237,11 @@ ORACLE = {
     + " FROM apps GROUP BY yr",
     "single_release": f"WITH {_SINGLE} SELECT * FROM si",
     "recon_cells": f"WITH {_RECON} SELECT * FROM k",
+    "sample_reconciliation": "WITH s AS (SELECT yr, outcome, count(*) AS n FROM apps "
+    "WHERE (app_id % 1000003) * 2654435761 % 1000000 < 100000 GROUP BY yr, outcome) "
+    "SELECT yr, outcome, n AS observed, n + CASE WHEN yr = 1997 AND outcome = 2 THEN 1 ELSE 0 END AS official, "
+    "CASE WHEN yr = 1997 AND outcome = 2 THEN -1 ELSE 0 END::bigint AS diff FROM s UNION ALL "
+    "SELECT yr, 9, 0, n, -n FROM s WHERE yr = 1998 AND outcome = 1",
     "recon_verdict": f"WITH {_RECON}, {_VERDICT} SELECT * FROM v",
     "recon_examples": f"WITH {_RECON}, f AS (SELECT *, row_number() OVER (PARTITION BY yr ORDER BY place1, outcome) AS i "
     "FROM k WHERE diff <> 0) SELECT yr, string_agg(concat(place1, ' ', outcome, ' ', diff), '; ' ORDER BY i) AS examples "

@@ -67,6 +67,44 @@ def test_pairs_follow_multiplicity(spark):
     assert [(r["field"], r["pairs"]) for r in found] == [("income", 5)]
 
 
+def test_columns_are_halved_before_rows_are_expanded(spark, monkeypatch):
+    """On 86 columns: the same pairs as by single fields, and few of the (row, field) combinations."""
+    rng = random.Random(5)
+    columns = [f"c{i}" for i in range(86)]
+    make = lambda: [rng.choice("ab") + str(rng.randrange(10**6)) if i % 3 else None for i in range(86)]
+    old, new, want = [], [], Counter()
+    for n in range(120):
+        a, b = make(), make()
+        if n < 40:
+            b, at = list(a), rng.randrange(86)
+            b[at] = "corrected"
+            want[columns[at]] += 1
+        elif n < 60:  # two fields: no pair
+            b = list(a)
+            b[3], b[70] = "corrected", "corrected"
+        old.append((*a, 0, 1))
+        new.append((*b, 1, 0))
+    schema = ", ".join(f"{c} string" for c in columns) + ", entered long, `left` long"
+    changes = spark.createDataFrame(old + new, schema)
+    sizes, filtered = [], R.within
+
+    def watched(df, *rest):
+        found = filtered(df, *rest)
+        sizes.append((df.count(), found.count()))
+        return found
+
+    monkeypatch.setattr(R, "within", watched)
+    found = {r["field"]: r["pairs"] for r in R.attribute_fields(changes, columns).collect()}
+    assert found == want
+    assert len(sizes) == 4 and sizes[0][0] == 480 and sum(n for n, _ in sizes) + 6 * sizes[-1][1] < 240 * 86 / 10
+    monkeypatch.setattr(R, "HALVED_TO", 86)
+    assert {r["field"]: r["pairs"] for r in R.attribute_fields(changes, columns).collect()} == want
+    monkeypatch.setattr(R, "HALVED_TO", 1)
+    by = changes.withColumn("g", F.when(F.col("c1") < "b", 1))
+    few = {(r["g"], r["field"]): r["pairs"] for r in R.attribute_fields(by, columns, ["g"]).collect()}
+    assert sum(few.values()) >= sum(want.values()) - want["c1"] and {k[0] for k in few} == {1, None}
+
+
 def _random_rows(seed, n):
     rng = random.Random(seed)
     hot = [("hot", "1", "1")] * (n // 3)
