@@ -196,3 +196,20 @@ def test_comparison_refuses_a_wrong_pair(lake):
         flow.compare_releases(lake, 2021, "three_year", "snapshot", None)
     with pytest.raises(ValueError):
         flow.compare_releases(lake, 2021, "snapshot", "final'; --", None)
+
+
+def test_all_pairs_come_from_one_tally_and_are_proved_before_they_are_published(lake, tmp_path, monkeypatch):
+    for n, release in enumerate(("snapshot", "one_year", "three_year")):
+        _load(lake, tmp_path, [row(income=str(50 + i)) for i in range(3)] + [row(income="99")] * n, release=release)
+    proof = flow.R.multiset_proof
+    monkeypatch.setattr(flow.R, "multiset_proof", lambda *a: proof(*a).withColumn("agrees", F.lit(False)))
+    with pytest.raises(flow.ProofFailed):
+        flow.compare_all(lake, [2021], "VT")
+    assert not (tmp_path / "lake" / "revisions").exists()
+    monkeypatch.setattr(flow.R, "multiset_proof", proof)
+    calls, tally = [], flow.R.tally
+    monkeypatch.setattr(flow.R, "tally", lambda *a, **k: calls.append(a) or tally(*a, **k))
+    flow.compare_all(lake, [2021], "VT")
+    found = {(r.from_release, r.to_release): (r.before, r.after, r.entered, r.left) for r in lake.table("revisions/summary").collect()}
+    assert found == {("snapshot", "one_year"): (3, 4, 1, 0), ("snapshot", "three_year"): (3, 5, 2, 0), ("one_year", "three_year"): (4, 5, 1, 0)}
+    assert len(calls) == 1
