@@ -12,10 +12,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-#: Rows up to which a staged side may be broadcast (a few dozen bytes per row: some MB).
-BROADCAST_ROWS = 200_000
 
 #: Folders made for local sessions without `spark.checkpoint.dir`, by application.
 _made: dict[str, str] = {}
@@ -46,14 +42,3 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_dir(spark, label)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def stage_sized(df: DataFrame, label: str, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Stage `df` and say whether it is small enough to broadcast.
-
-    The count comes from the Parquet footers of the staged table. Callers must have another
-    way for the case `False`.
-    """
-    staged = stage(df, label)
-    small = staged.count() <= limit
-    return (F.broadcast(staged) if small else staged), small

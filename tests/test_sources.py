@@ -161,8 +161,7 @@ def test_scratch_without_a_named_folder():
 
 def test_scratch_uses_the_named_folder(spark):
     assert scratch.new_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/"))
-    staged, small = scratch.stage_sized(spark.range(10), "x", limit=5)
-    assert not small and staged.count() == 10
+    assert scratch.stage(spark.range(10), "x").count() == 10
 
 
 def test_catalog_and_pruning(spark, tmp_path):
@@ -176,6 +175,7 @@ def test_catalog_and_pruning(spark, tmp_path):
     assert table.count() == 6 and spark.table(names["other"]).count() == 2
     opened = Y.folders_opened(table, "yr", F.col("yr") >= 2021, F.expr("yr >= 2021 AND state = 'TX'"))
     assert {tuple(r) for r in opened.collect()} == {(2021, 2, 1), (2022, 2, 1)}
+    assert [Y.opened(table.where(c).select("state"))[0] for c in ("yr >= 2021", "yr = 2020 AND state = 'TX'", "state = 'TX'")] == [2, 1, 3]
     plan = str(spark.sql(f"EXPLAIN FORMATTED SELECT state FROM {names['a_table']} WHERE yr = 2021").first()[0])
     filters = next(line for line in plan.splitlines() if "PartitionFilters" in line)
     assert "yr" in filters and "2021" in filters and "ReadSchema: struct<state:string>" in plan
