@@ -17,11 +17,14 @@ from civiclake.sources.scratch import stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score reaches the limit go; the field learns from the labels outside the held-out third.
 
-    Rows with a null id or text stay: a null id has no score of its own.
+    Rows with a null id or text stay: nothing is known of them that a score could rest on.
     """
     field = toxicity.train(toxicity.training_rows(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
-    scored = toxicity.score(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("document"), "text"), field, key="document")
-    return scored.where(F.col("score") < toxicity.TOXIC).select("document.*")
+    judged = F.col("doc_id").isNotNull() & F.col("text").isNotNull()
+    rest = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("rest")
+    scored = toxicity.score(docs.where(judged).select(rest, "text"), field, key="rest", with_text=True)
+    kept = scored.where(F.col("score") < toxicity.TOXIC).select(*("text" if c == "text" else F.col(f"rest.`{c}`") for c in docs.columns))
+    return kept.union(docs.where(~judged))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +36,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("id"), F.col("version").alias("v"))
     named = docs.where("doc_id is not null").withColumn("v", F.xxhash64("text"))
     one = named.join(kept, (named["doc_id"] == kept["id"]) & (named["v"] == kept["v"]), "left_semi").dropDuplicates(["doc_id", "v"])
-    return one.select(*docs.columns).union(docs.where("doc_id is null"))
+    return one.select(*(F.col(f"`{c}`") for c in docs.columns)).union(docs.where("doc_id is null"))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +46,7 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """
     cut = substrings.dedup_texts(docs, drop_emptied=True)
     return cut.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text"))).select(
-        *(F.col(c).cast(docs.schema[c].dataType) for c in docs.columns)
+        *(F.col(f"`{c}`").cast(docs.schema[c].dataType) for c in docs.columns)
     )
 
 
