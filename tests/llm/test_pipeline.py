@@ -68,6 +68,22 @@ def test_odd_rows(spark, stage, tmp_path):
     assert pipeline.STAGES[stage][1](spark, docs.limit(0), str(tmp_path)).count() == 0
 
 
+@pytest.mark.parametrize("stage", [0, 1, 2])
+def test_odd_column_names(spark, stage, tmp_path):
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality long, toxic long").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame([(1, "a b c", "en", "s", 5, "x", "y")], "doc_id long, text string, lang string, source string, n_chars long, `my col` string, `a.b` string")
+    got = pipeline.STAGES[stage][1](spark, docs, str(tmp_path))
+    assert got.dtypes == docs.dtypes and [tuple(r) for r in got.collect()] == [(1, "a b c", "en", "s", 5, "x", "y")]
+
+
+def test_nulls_are_not_judged(spark, tmp_path):
+    """Where the field calls everything toxic, rows without an id or a text stay."""
+    spark.createDataFrame([(i, 1, 1) for i in range(20)], "doc_id long, quality long, toxic long").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = [(i, "vile words", "en", "s", 10) for i in range(20)] + [(None, "vile words", "en", "s", 10), (30, None, "en", "s", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(pairs(pipeline.drop_toxic(spark, docs, str(tmp_path))), key=repr) == [(30, None), (None, "vile words")]
+
+
 def test_registered(spark):
     assert queries.QUERIES["pipeline"] is pipeline.run
     assert [n for n, _ in pipeline.STAGES] == ["toxicity", "near duplicates", "substring dedup", "packing"]
