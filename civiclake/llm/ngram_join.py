@@ -7,8 +7,9 @@ n - ceil(t n) + 1 elements.
 
 1. Sets whose prefixes share an element, and whose sizes and places there allow the similarity,
    are candidates. They are compared with few pivots instead of in pairs: two rounds compare the
-   sets of each shared element with the one of middle size, then with those at the quartiles, and
-   one more round compares all those that are still in different components.
+   sets of each shared element and size band with those that come first in a few orders of all
+   sets, and one more round compares all those that are still in different
+   components, in cells of bounded size.
 2. Candidates of a pivot are stored in a prefix tree by the global order. The pivot descends it
    once, so sets with a common beginning share the overlap counted so far, and a subtree is left
    when the remaining lengths can no longer bring the overlap needed.
@@ -36,6 +37,10 @@ BUCKETS = 1 << 20
 _SLICE = 1 << 12
 #: Candidates of one pivot that share a tree.
 TREE = 256
+#: Sets of one element in a part; two parts are compared at once.
+PART = 512
+#: The rounds with pivots: the orders they come first in (None: by place, else the seed of a hash), and where size bands begin.
+PIVOTS = (((None,), 0.0), ((None, 1), 0.5))
 #: Similarity, as (numerator, denominator).
 THRESHOLD = (3, 4)
 
@@ -199,45 +204,40 @@ def _fitting(rows: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return balanced & (left >= overlap_needed(size[i], size[j])) & (rows[3][i] != rows[3][j])
 
 
-def _candidates(rows: np.ndarray, pivots: tuple[float, ...] | None) -> Iterator[np.ndarray]:
-    """Pairs of names within the elements of `rows`, which are sorted and whole."""
-    start = np.flatnonzero(np.diff(rows[0], prepend=rows[0][:1] - 1))
-    count = np.diff(np.append(start, rows.shape[1]))
-    at = np.arange(rows.shape[1])
-    for fraction in pivots or ():
-        pivot = np.repeat(start + (count * fraction).astype(np.int64), count)
-        good = _fitting(rows, pivot, at)
-        yield rows[1][np.stack([pivot[good], at[good]])]
-    if pivots is None:
-        low = np.minimum.reduceat(rows[3], start) if len(start) else start
-        high = np.maximum.reduceat(rows[3], start) if len(start) else start
-        rows = rows[:, np.repeat(low < high, count)]
-        at, apart = np.arange(rows.shape[1]), 1
-        while len(at := at[at + apart < rows.shape[1]]) and len(at := at[rows[0][at] == rows[0][at + apart]]):
-            good = at[_fitting(rows, at, at + apart)]
-            yield rows[1][np.stack([good, good + apart])]
-            apart += 1
-
-
-def _pairs(pivots: tuple[float, ...] | None):
-    """Candidate pairs of rows sorted by element, size and name.
-
-    Each element's sets are compared with those of them that stand at the fractions `pivots`; if
-    None, all those are compared that are in different components.
+def _candidates(rows: np.ndarray) -> Iterator[np.ndarray]:
+    """Pairs of names from different halves of the cells in `rows`, which are sorted and whole.
+
+    Rows are element, name, place, component, low, high, part. A cell (low, high) holds the parts
+    low and high of an element's sets; if they are one part, its sets are compared with each other.
     """
+    at, apart = np.arange(rows.shape[1]), 1
+    cell = np.cumsum(_cuts(rows))
+    while len(at := at[at + apart < rows.shape[1]]) and len(at := at[cell[at] == cell[at + apart]]):
+        across = (rows[4][at] == rows[5][at]) | (rows[6][at] != rows[6][at + apart])
+        good = at[across & _fitting(rows, at, at + apart)]
+        yield rows[1][np.stack([good, good + apart])]
+        apart += 1
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.empty((4, 0), np.int64)
-        for batch in batches:
-            rows = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)])
-            rows = np.concatenate([held, rows], axis=1)
-            cuts = np.flatnonzero(np.diff(rows[0])) + 1
-            done = cuts[-1] if len(cuts) else 0
-            held = rows[:, done:]
-            yield from _batch(_candidates(rows[:, :done], pivots))
-        yield from _batch(_candidates(held, pivots))
 
-    return run
+def _cuts(rows: np.ndarray) -> np.ndarray:
+    """Whether a row begins a cell."""
+    return np.any(np.diff(rows[[0, 4, 5]], axis=1, prepend=rows[[0, 4, 5], :1] - 1) != 0, axis=0)
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidate pairs of rows sorted by element, cell, size and name; a cell holds about 2 * `PART` sets."""
+    held = np.empty((7, 0), np.int64)
+    for batch in batches:
+        rows = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(7)])
+        rows = np.concatenate([held, rows], axis=1)
+        if not rows.shape[1]:
+            continue
+        done = int(np.flatnonzero(_cuts(rows))[-1])
+        held = rows[:, done:]
+        if done:
+            yield from _batch(_candidates(rows[:, :done]))
+    if held.shape[1]:
+        yield from _batch(_candidates(held))
 
 
 def _batch(parts) -> Iterator[pa.RecordBatch]:
@@ -327,19 +327,73 @@ def _hooks(found: DataFrame) -> DataFrame:
     return up.join(further, "pivot", "left").select("node", F.coalesce("beyond", "pivot").alias("hook"))
 
 
+def _with_pivots(rows: DataFrame, orders: tuple[int | None, ...], shift: float) -> DataFrame:
+    """`pivot`, `name`: the sets of each element beside a few of them of about their size.
+
+    A pivot comes first among the sets of an element and size band, in an order of all sets or by the
+    element's place in the set. The sets in which shared elements come early hold little besides, so
+    they are the middle of a group of copies: its elements agree on few pivots, and most of the group is
+    similar to those. Pivots are found by partial aggregates.
+    """
+    n, d = THRESHOLD
+    logarithm = F.log(F.col("place") % F.lit(_HALF)) / F.lit(float(np.log(d / n)))
+    rows = rows.withColumn("band", F.floor(logarithm + F.lit(shift)))
+    own = F.struct("name", "place", "component")
+    found = None
+    for seed in orders:
+        place = F.floor(F.col("place") / _HALF) if seed is None else F.lit(0)
+        heads = rows.groupBy("element", "band").agg(
+            F.min(F.struct(place.alias("place"), F.xxhash64("name", F.lit(seed or 0)).alias("rank"), own.alias("head"))).alias("first"),
+            F.count(F.lit(1)).alias("sets"),
+        )
+        heads = heads.where("sets > 1").select(F.col("element").alias("e"), F.col("band").alias("b"), "first.head")
+        both = rows.join(heads, (F.col("element") == F.col("e")) & (F.col("band") == F.col("b")))
+        pairs = both.where(_may_link()).select(F.col("head.name").alias("pivot"), "name")
+        found = pairs if found is None else found.union(pairs)
+    return found.distinct()
+
+
+def _may_link():
+    """`_fitting` for the columns of a row and of its `head`."""
+    n, d = THRESHOLD
+    size, head = F.col("place") % F.lit(_HALF), F.col("head.place") % F.lit(_HALF)
+    left = F.least(size - F.floor(F.col("place") / _HALF), head - F.floor(F.col("head.place") / _HALF))
+    balanced = F.least(size, head) * d >= n * F.greatest(size, head)
+    return balanced & (left * (n + d) >= n * (size + head)) & (F.col("component") != F.col("head.component"))
+
+
+def _across(rows: DataFrame) -> DataFrame:
+    """`pivot`, `name`: all sets of an element that are in different components and may be similar.
+
+    The sets of an element are dealt over parts of about `PART`; each pair of parts is a cell of its own.
+    """
+    apart = rows.groupBy("element").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"), F.ceil(F.count(F.lit(1)) / PART).alias("parts")
+    )
+    rows = rows.join(apart.where("least < most").select("element", "parts"), "element")
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("name"), "parts"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other")
+    rows = rows.select("element", "name", "place", "component", "part", other).select(
+        "element", "name", "place", "component", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part"
+    )
+    dealt = rows.repartition("element", "low", "high").sortWithinPartitions(
+        "element", "low", "high", F.col("place") % F.lit(_HALF), "name"
+    )
+    return dealt.mapInArrow(_cells, "pivot long, name long").distinct()
+
+
 def links(entries: DataFrame, texts: DataFrame, shared) -> DataFrame:
     """Links `a`, `b` between set names that join all similar sets into the right components."""
     found = None
-    for pivots in ((0.5,), (0.25, 0.75), None):
+    for number, pivots in enumerate((*PIVOTS, None)):
         if found is None:
             rows = entries.withColumn("component", F.col("name"))
         else:
-            joined = components(found).withColumnRenamed("component", "hook") if pivots is None else _hooks(found)
+            joined = _hooks(found) if number == 1 else components(found).withColumnRenamed("component", "hook")
             rows = entries.join(joined, F.col("name") == F.col("node"), "left").select(
                 *entries.columns, F.coalesce("hook", "name").alias("component")
             )
-        rows = rows.repartition("element").sortWithinPartitions("element", F.col("place") % F.lit(_HALF), "name")
-        pairs = stage(rows.mapInArrow(_pairs(pivots), "pivot long, name long").distinct(), "candidate-pairs")
+        pairs = stage(_across(rows) if pivots is None else _with_pivots(rows, *pivots), "candidate-pairs")
         trees = pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / TREE).alias("trees"))
         members = pairs.join(trees, "pivot").select("pivot", F.pmod(F.xxhash64("name"), "trees").alias("tree"), F.lit(1).alias("role"), "name")
         heads = members.select("pivot", "tree", F.lit(0).alias("role"), F.col("pivot").alias("name")).distinct()
@@ -377,12 +431,13 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
         .mapInArrow(_sharing, _ENTRY),
         "shared-prefixes",
     )
-    classes = named.where("doc is not null and name is not null").groupBy("name").agg(F.min("doc").alias("first"))
+    first = F.min(F.struct("doc", "version"))
+    classes = named.where("doc is not null and name is not null").groupBy("name").agg(first.alias("f")).select("name", "f.doc", "f.version")
     involved = entries.select("name").distinct().join(classes, "name")
-    texts = stage(
-        with_key.join(involved, F.col("doc") == F.col("first")).select("name", "text", F.xxhash64("text").alias("version")), "texts"
-    )
-    joined = components(links(entries, _one_text(texts), shared))
+    # A key may come with several texts, and a row repeatedly; copies are united before and after they move.
+    texts = with_key.withColumn("version", F.xxhash64("text")).join(involved, ["doc", "version"]).dropDuplicates(["doc", "version"])
+    joined = components(links(entries, stage(texts.select("name", "text"), "texts"), shared))
+    classes = classes.select("name", F.col("doc").alias("first"))
     # A component is named after the smallest document of its sets.
     labels = classes.join(joined, F.col("name") == F.col("node"), "left").select(
         "name", F.coalesce("component", "name").alias("component"), "first"
@@ -396,18 +451,3 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
         F.when(F.col("doc").isNotNull(), F.coalesce("component_id", "doc")).cast(kind).alias("component_id"),
         "version",
     )
-
-
-def _one_text(texts: DataFrame) -> DataFrame:
-    """Texts of a document that repeats its key with other texts: the one of that set."""
-    checked = texts.mapInArrow(_only_named, "name long, text string, version long")
-    return checked.dropDuplicates(["name"]).select("name", "text")
-
-
-def _only_named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        good = [
-            bool(len(own := shingles(data))) and set_name(own) == name
-            for name, data in zip(batch.column("name").to_pylist(), byte_values(batch.column("text")), strict=True)
-        ]
-        yield batch.filter(pa.array(good))

@@ -93,3 +93,37 @@ def test_components(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {k: min(v) for k, v in label.items()}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_one_passage_in_many_dissimilar_texts(spark, monkeypatch):
+    """2,000 texts around one passage: few candidates, though all share its shingles."""
+    rng = random.Random(9)
+    passage = [f"p{i}" for i in range(50)]
+    rows = []
+    for i in range(2000):
+        own = [f"u{rng.randint(0, 10**9)}" for _ in range(rng.randint(18, 60))]
+        rows.append((i, " ".join(own[:9] + passage + own[9:])))
+    rows += [(5000 + i, rows[i][1] + " more") for i in range(20)]
+    counted = []
+
+    def counting(df, label):
+        done = stage(df, label)
+        if label == "candidate-pairs":
+            counted.append(done.count())
+        return done
+
+    stage = ngram_join.stage
+    monkeypatch.setattr(ngram_join, "stage", counting)
+    got = rows_of(ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert {k: c for k, _, c in got} == {k: k % 5000 for k, _ in rows}
+    assert sum(counted) < 3 * len(rows)
+
+
+def test_parts_of_an_element_meet_in_cells(spark, monkeypatch):
+    """With small parts and no pivots, the cells alone find all links, each within or across parts."""
+    rng = random.Random(3)
+    base = [f"b{i}" for i in range(40)]
+    rows = [(i, " ".join(base[rng.randint(0, 3) : 40 - rng.randint(0, 3)] + [f"x{i}"])) for i in range(60)]
+    monkeypatch.setattr(ngram_join, "PART", 4)
+    monkeypatch.setattr(ngram_join, "PIVOTS", ())
+    assert rows_of(ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
