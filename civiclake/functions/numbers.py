@@ -10,11 +10,11 @@ def canonical_number(text: Column) -> Column:
     """One spelling per number: '2560.0', '2560.00', '02560' all become '2560'.
 
     Rounded to six decimals, trailing zeros and a bare point removed. Text that is no number
-    stays as it is.
+    stays as it is. Text without a digit is not even tried: a failing cast costs an exception.
     """
     fixed = text.try_cast("decimal(38,6)").cast("string")
-    trimmed = F.regexp_replace(fixed, r"\.?0+$", "")
-    return F.when(fixed.isNull(), text).otherwise(trimmed)
+    trimmed = F.rtrim(F.rtrim(fixed, F.lit("0")), F.lit("."))
+    return F.when(text.rlike(r"\p{Nd}"), F.coalesce(trimmed, text)).otherwise(text)
 
 
 def safe_ratio(top: Column, bottom: Column, scale: int = 1) -> Column:

@@ -93,7 +93,9 @@ def within(df: DataFrame, hash_: Column, bitmap: Bitmap) -> DataFrame:
     bit = (F.lit(56) - inner.bitwiseAND(F.lit(56)) + inner.bitwiseAND(F.lit(7))).cast("int")
     rows = df.withColumns({"_piece": F.shiftright(place, _PIECE_BITS), "_word": F.shiftright(inner, 6).cast("int"), "_bit": bit})
     set_ = (F.col("_piece") == F.col("piece")) & (F.getbit(F.get("words", F.col("_word")), F.col("_bit")) == 1)
-    return rows.join(F.broadcast(bitmap.pieces), set_, "left_semi").drop("_piece", "_word", "_bit")
+    # Pieces are unique, so an inner join keeps each row once. A semi join would be pushed below the projection
+    # that makes the hash, and compute it three times for every row.
+    return rows.join(F.broadcast(bitmap.pieces), set_).select(*df.columns)
 
 
 def changed_prints(before: DataFrame, after: DataFrame) -> DataFrame:

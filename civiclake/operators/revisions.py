@@ -293,31 +293,18 @@ def multiset_proof(
 ) -> DataFrame:
     """Exact bag difference next to the fingerprint result (or `diff`, of the same rows), per slice.
 
-    `exceptAll` compares whole rows without any hash of ours; `agrees` must be true.
+    Whole rows are the key of one tally, without any hash of ours: what `exceptAll` of either side counts, both
+    directions from one scan of each release. `agrees` must be true.
     """
-    a, b = before.select(*columns), after.select(*columns)
-    sides = {
-        "exact_left": a.exceptAll(b),
-        "exact_entered": b.exceptAll(a),
-    }
-    exact = [
-        rows.groupBy(*slices).agg(F.count("*").alias("n")).select(*slices, F.lit(name).alias("what"), "n")
-        for name, rows in sides.items()
-    ]
+    whole = multiset_diff(before, after, columns, whole_rows=True)
+    exact = whole.groupBy(*slices).agg(F.sum("left").alias("left"), F.sum("entered").alias("entered")).where("`left` > 0 OR entered > 0")
     hashed = entity_rollup(multiset_diff(before, after, columns, carry=slices) if diff is None else diff, slices)
-    exact.append(
-        hashed.select(
-            *slices,
-            F.inline(
-                F.array(
-                    F.struct(F.lit("hash_left").alias("what"), F.col("left").alias("n")),
-                    F.struct(F.lit("hash_entered").alias("what"), F.col("entered").alias("n")),
-                )
-            ),
-        )
-    )
+    both = [
+        sums.select(*slices, F.inline(F.array(*[F.struct(F.lit(f"{way}_{side}").alias("what"), F.col(side).alias("n")) for side in ("left", "entered")])))
+        for way, sums in (("exact", exact), ("hash", hashed))
+    ]
     names = ("exact_left", "exact_entered", "hash_left", "hash_entered")
-    together = reduce(DataFrame.unionByName, exact)
+    together = reduce(DataFrame.unionByName, both)
     sums = together.groupBy(*slices).agg(
         *[
             F.coalesce(F.sum(F.when(F.col("what") == n, F.col("n"))), F.lit(0).cast("long")).alias(n)
