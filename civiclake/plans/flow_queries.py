@@ -11,7 +11,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civiclake.plans.register_queries import _REG, _raw
+from civiclake.plans.register_queries import _REG, _narrow, _published
 from civiclake.register import flow
 from civiclake.register.schema import COLUMNS
 from civiclake.sources.landing import LoadRefused
@@ -20,13 +20,15 @@ from civiclake.sources.scratch import new_dir, stage
 YEARS = (2020, 2021)
 FIRST, LAST = "snapshot", "three_year"
 FROZEN = {FIRST: 2, LAST: 5}  # years after the activity year
+#: Rows of both years that a task turns into published lines.
+FILE_ROWS = 200_000
 
 
-def _register(spark: SparkSession, folder: str) -> DataFrame:
-    """All rows, dealt over two years."""
+def _register(narrow: DataFrame) -> DataFrame:
+    """All rows, dealt over two years, from what their columns are made of."""
     year = (F.lit(YEARS[0]) + F.col("year") % 2).cast("int")
-    raw = _raw(spark, folder).withColumn("year", year).withColumn("activity_year", F.col("year").cast("string"))
-    return stage(raw.select("year", *COLUMNS), "flow-register")
+    raw = _published(narrow).withColumn("year", year).withColumn("activity_year", F.col("year").cast("string"))
+    return raw.select("year", *COLUMNS)
 
 
 def _last(rows: DataFrame) -> DataFrame:
@@ -37,7 +39,11 @@ def _last(rows: DataFrame) -> DataFrame:
 
 def _files(spark: SparkSession, folder: str, releases: tuple[str, ...]) -> list[tuple[str, int, str, str, date]]:
     """The published files as (path, year, release, content, frozen at)."""
-    rows, place = _register(spark, folder), new_dir(spark, "published")
+    # Only the few columns all others are made of are staged. They are small, so their scan would make too few
+    # tasks for the wide files: rows are dealt out by number.
+    narrow, place = stage(_narrow(spark, folder), "flow-register"), new_dir(spark, "published")
+    tasks = max(spark.sparkContext.defaultParallelism, narrow.count() // FILE_ROWS)
+    rows = _register(narrow.repartition(tasks))
     found = []
     for year in YEARS:
         for release in releases:
@@ -102,7 +108,7 @@ def flow_checks(spark: SparkSession, folder: str) -> DataFrame:
     lake = _lake(spark)
     files = _files(spark, folder, (LAST,))
     flow.run_scope(lake, files)
-    cells = _last(_register(spark, folder)).where("state_code <> 'NA' AND action_taken <> '9'").groupBy("year", "state_code", "action_taken").count()
+    cells = _last(_register(_narrow(spark, folder))).where("state_code <> 'NA' AND action_taken <> '9'").groupBy("year", "state_code", "action_taken").count()
     one_more = F.when((F.col("year") == YEARS[0]) & (F.col("state_code") == "S1") & (F.col("action_taken") == "1"), 1).otherwise(0)
     official = cells.select("year", "state_code", "action_taken", (F.col("count") + one_more).alias("n"))
     flow.run_checks(lake, official)

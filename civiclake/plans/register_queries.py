@@ -63,15 +63,26 @@ FILLED = {
 }
 
 
-def _raw(spark: SparkSession, folder: str) -> DataFrame:
+#: What the published columns are made of.
+_SOURCE = (
+    "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
+    "c_custkey", "c_mktsegment", "c_acctbal", "n_nationkey", "n_regionkey",
+)
+
+
+def _narrow(spark: SparkSession, folder: str) -> DataFrame:
     t = {n: V.table(spark, folder, n) for n in ("orders", "customer", "nation")}
-    joined = (
+    return (
         t["orders"]
         .join(t["customer"], F.col("o_custkey") == F.col("c_custkey"))
         .join(t["nation"], F.col("c_nationkey") == F.col("n_nationkey"))
+        .select(*_SOURCE)
     )
+
+
+def _published(narrow: DataFrame) -> DataFrame:
     columns = [F.expr(FILLED.get(c, "'NA'")).alias(c) for c in COLUMNS]
-    return joined.select(
+    return narrow.select(
         *columns,
         F.lit(None).cast("string").alias(CORRUPT),
         F.expr("cast(year(o_orderdate) + 23 as int)").alias("year"),
@@ -79,6 +90,10 @@ def _raw(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _raw(spark: SparkSession, folder: str) -> DataFrame:
+    return _published(_narrow(spark, folder))
+
+
 def _valid(spark: SparkSession, folder: str) -> DataFrame:
     landed = stage(_raw(spark, folder), "register")
     valid, _ = R.split_register(landed, BOOK, new_dir(spark, "register-typed"), ["year", "release"])
