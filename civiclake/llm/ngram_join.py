@@ -41,6 +41,8 @@ TREE = 256
 PART = 512
 #: The rounds with pivots: the orders they come first in (None: by place, else the seed of a hash), and where size bands begin.
 PIVOTS = (((None,), 0.0), ((None, 1), 0.5))
+#: Of the elements that a set and its pivot have to share, one in so many must have that pivot; the others may have different ones.
+WITH_PIVOT = 3
 #: Similarity, as (numerator, denominator).
 THRESHOLD = (3, 4)
 
@@ -195,17 +197,24 @@ def _entries(rows: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(column) for column in rows], ["element", "name", "place"])
 
 
-def _fitting(rows: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Whether rows i and j, which share an element, may be similar and are not yet joined."""
+def _fitting(rows: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether rows i and j, which share an element, may be similar and are not yet joined; how many such elements it takes.
+
+    Let similar sets of sizes x and y have k elements in common and s more places in their prefixes than
+    k needs. In the first x - k + 1 + s and y - k + 1 + s places they share s + 1 elements at least: behind the
+    beginning that ends first in the global order only k - 1 - s are left of a set.
+    """
     n, d = THRESHOLD
     size, place = rows[2] % _HALF, rows[2] // _HALF
     left = np.minimum(size[i] - place[i], size[j] - place[j])
-    balanced = np.minimum(size[i], size[j]) * d >= n * np.maximum(size[i], size[j])
-    return balanced & (left >= overlap_needed(size[i], size[j])) & (rows[3][i] != rows[3][j])
+    large = np.maximum(size[i], size[j])
+    balanced = np.minimum(size[i], size[j]) * d >= n * large
+    spare = overlap_needed(size[i], size[j]) + (-n * large // d)
+    return balanced & (left >= -(-n * large // d)) & (rows[3][i] != rows[3][j]), spare + 1
 
 
 def _candidates(rows: np.ndarray) -> Iterator[np.ndarray]:
-    """Pairs of names from different halves of the cells in `rows`, which are sorted and whole.
+    """Pairs of names, and the elements needed, from different halves of the cells in `rows`, which are sorted and whole.
 
     Rows are element, name, place, component, low, high, part. A cell (low, high) holds the parts
     low and high of an element's sets; if they are one part, its sets are compared with each other.
@@ -214,8 +223,9 @@ def _candidates(rows: np.ndarray) -> Iterator[np.ndarray]:
     cell = np.cumsum(_cuts(rows))
     while len(at := at[at + apart < rows.shape[1]]) and len(at := at[cell[at] == cell[at + apart]]):
         across = (rows[4][at] == rows[5][at]) | (rows[6][at] != rows[6][at + apart])
-        good = at[across & _fitting(rows, at, at + apart)]
-        yield rows[1][np.stack([good, good + apart])]
+        fitting, needed = _fitting(rows, at, at + apart)
+        good = at[fitting := across & fitting]
+        yield np.stack([rows[1][good], rows[1][good + apart], needed[fitting]])
         apart += 1
 
 
@@ -253,8 +263,8 @@ def _batch(parts) -> Iterator[pa.RecordBatch]:
 
 
 def _pair_rows(parts: list[np.ndarray]) -> pa.RecordBatch:
-    columns = np.unique(np.concatenate(parts, axis=1), axis=1)
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["pivot", "name"])
+    columns, shared = np.unique(np.concatenate(parts, axis=1), axis=1, return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, shared)], ["pivot", "name", "needed", "shared"])
 
 
 class Tree:
@@ -348,18 +358,39 @@ def _with_pivots(rows: DataFrame, orders: tuple[int | None, ...], shift: float)
         )
         heads = heads.where("sets > 1").select(F.col("element").alias("e"), F.col("band").alias("b"), "first.head")
         both = rows.join(heads, (F.col("element") == F.col("e")) & (F.col("band") == F.col("b")))
-        pairs = both.where(_may_link()).select(F.col("head.name").alias("pivot"), "name")
+        pairs = _enough(both.where(_may_link()).select(F.col("head.name").alias("pivot"), "name", F.ceil(_needed() / WITH_PIVOT).alias("needed"), F.lit(1).alias("shared")))
         found = pairs if found is None else found.union(pairs)
     return found.distinct()
 
 
+def _sizes():
+    return F.col("place") % F.lit(_HALF), F.col("head.place") % F.lit(_HALF)
+
+
+def _least_partner(size):
+    """The smallest size of a set that is similar to one of `size`."""
+    n, d = THRESHOLD
+    return F.floor((n * size + (d - 1)) / d)
+
+
 def _may_link():
     """`_fitting` for the columns of a row and of its `head`."""
     n, d = THRESHOLD
-    size, head = F.col("place") % F.lit(_HALF), F.col("head.place") % F.lit(_HALF)
+    size, head = _sizes()
     left = F.least(size - F.floor(F.col("place") / _HALF), head - F.floor(F.col("head.place") / _HALF))
     balanced = F.least(size, head) * d >= n * F.greatest(size, head)
-    return balanced & (left * (n + d) >= n * (size + head)) & (F.col("component") != F.col("head.component"))
+    return balanced & (left >= _least_partner(F.greatest(size, head))) & (F.col("component") != F.col("head.component"))
+
+
+def _needed():
+    n, d = THRESHOLD
+    size, head = _sizes()
+    return F.floor((n * (size + head) + (n + d - 1)) / (n + d)) - _least_partner(F.greatest(size, head)) + 1
+
+
+def _enough(pairs: DataFrame) -> DataFrame:
+    """`pivot`, `name` of the pairs (with `needed` and `shared` elements) that share enough elements."""
+    return pairs.groupBy("pivot", "name", "needed").agg(F.sum("shared").alias("shared")).where("shared >= needed").select("pivot", "name")
 
 
 def _across(rows: DataFrame) -> DataFrame:
@@ -379,7 +410,7 @@ def _across(rows: DataFrame) -> DataFrame:
     dealt = rows.repartition("element", "low", "high").sortWithinPartitions(
         "element", "low", "high", F.col("place") % F.lit(_HALF), "name"
     )
-    return dealt.mapInArrow(_cells, "pivot long, name long").distinct()
+    return _enough(dealt.mapInArrow(_cells, "pivot long, name long, needed long, shared long"))
 
 
 def links(entries: DataFrame, texts: DataFrame, shared) -> DataFrame:
