@@ -32,6 +32,8 @@ from civiclake.sources.scratch import stage
 #: Plain bytes from which a frame is closed, and compressed bytes from which a bundle is closed.
 FRAME, BUNDLE = 1 << 18, 64 << 20
 LEVEL = 3
+#: Payload bytes from which the reader hands a batch on.
+BATCH = 4 << 20
 _SKIPPABLE, _SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 
 INDEX = "page_id long, payload_digest string, record_type string, refers_to long, bundle string, frame int, offset long, length long"
@@ -236,8 +238,17 @@ def _read(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, base = _place(folder)
         opened, name, table, frame, plain = None, None, [], None, b""
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*rows, strict=True)) or [()] * 6
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"],
+            )
+
         for batch in batches:
-            rows = []
+            rows, held = [], 0
             for bundle, number, offset, length in zip(*(batch.column(c).to_pylist() for c in ("bundle", "frame", "offset", "length")), strict=True):
                 if bundle != name:
                     if opened:
@@ -261,12 +272,11 @@ def _read(folder: str):
                         payload if fields["WARC-Type"] == "response" else None,
                     )
                 )
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
-            columns = list(zip(*rows, strict=True)) or [()] * 6
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"],
-            )
+                held += len(payload)
+                if held >= BATCH:
+                    yield batch_of(rows)
+                    rows, held = [], 0
+            yield batch_of(rows)
 
     return run
 

@@ -76,3 +76,12 @@ def test_empty_table_and_missing_id(spark, tmp_path):
     bad = spark.createDataFrame([(None, "u", "h")], none.schema)
     with pytest.raises(Exception, match="no page_id"):
         bundles.write_bundles(bad, str(tmp_path / "b"))
+
+
+def test_reader_hands_on_bounded_batches(spark, tmp_path):
+    """Forty pages of a megabyte are never held at once by whoever gets the payloads."""
+    pages = spark.range(40).selectExpr("id as page_id", "'u' as url", "repeat(cast(id as string), 600000) as html").coalesce(1)
+    index = bundles.write_bundles(pages, folder := str(tmp_path / "w")).toArrow().combine_chunks()
+    batches = index.select(["bundle", "frame", "offset", "length"]).to_batches()
+    got = [sum(len(p) for p in b.column("payload").to_pylist()) for b in bundles._read(folder)(iter(batches))]
+    assert sum(got) == 70 * 600_000 and max(got) < bundles.BATCH + 1_300_000
