@@ -87,3 +87,19 @@ def test_nulls_are_not_judged(spark, tmp_path):
 def test_registered(spark):
     assert queries.QUERIES["pipeline"] is pipeline.run
     assert [n for n, _ in pipeline.STAGES] == ["toxicity", "near duplicates", "substring dedup", "packing"]
+
+
+@pytest.mark.parametrize("stage", [0, 1, 2, 3])
+def test_texts_go_to_python_in_batches_of_bounded_size(spark, stage, tmp_path):
+    """However long texts are, a stage sets the bound before Python gets them."""
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality long, toxic long").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.createDataFrame([(1, "a b c", "en", "s", 5)], "doc_id long, text string, lang string, source string, n_chars long")
+    pipeline.STAGES[stage][1](spark, docs, str(tmp_path))
+
+    def sizes(batches):
+        for batch in batches:
+            yield batch.select(["text"]).slice(0, 1).set_column(0, "text", [str(batch.num_rows)])
+
+    long = spark.range(64).selectExpr("repeat('x', 1000000) as text").coalesce(1)
+    assert max(int(r.text) for r in long.mapInArrow(sizes, "text string").collect()) <= 10
