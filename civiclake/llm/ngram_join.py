@@ -197,24 +197,17 @@ def _entries(rows: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(column) for column in rows], ["element", "name", "place"])
 
 
-def _fitting(rows: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whether rows i and j, which share an element, may be similar and are not yet joined; how many such elements it takes.
-
-    Let similar sets of sizes x and y have k elements in common and s more places in their prefixes than
-    k needs. In the first x - k + 1 + s and y - k + 1 + s places they share s + 1 elements at least: behind the
-    beginning that ends first in the global order only k - 1 - s are left of a set.
-    """
+def _fitting(rows: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether rows i and j, which share an element, may be similar and are not yet joined."""
     n, d = THRESHOLD
     size, place = rows[2] % _HALF, rows[2] // _HALF
     left = np.minimum(size[i] - place[i], size[j] - place[j])
-    large = np.maximum(size[i], size[j])
-    balanced = np.minimum(size[i], size[j]) * d >= n * large
-    spare = overlap_needed(size[i], size[j]) + (-n * large // d)
-    return balanced & (left >= -(-n * large // d)) & (rows[3][i] != rows[3][j]), spare + 1
+    balanced = np.minimum(size[i], size[j]) * d >= n * np.maximum(size[i], size[j])
+    return balanced & (left >= overlap_needed(size[i], size[j])) & (rows[3][i] != rows[3][j])
 
 
 def _candidates(rows: np.ndarray) -> Iterator[np.ndarray]:
-    """Pairs of names, and the elements needed, from different halves of the cells in `rows`, which are sorted and whole.
+    """Pairs of names from different halves of the cells in `rows`, which are sorted and whole.
 
     Rows are element, name, place, component, low, high, part. A cell (low, high) holds the parts
     low and high of an element's sets; if they are one part, its sets are compared with each other.
@@ -223,9 +216,8 @@ def _candidates(rows: np.ndarray) -> Iterator[np.ndarray]:
     cell = np.cumsum(_cuts(rows))
     while len(at := at[at + apart < rows.shape[1]]) and len(at := at[cell[at] == cell[at + apart]]):
         across = (rows[4][at] == rows[5][at]) | (rows[6][at] != rows[6][at + apart])
-        fitting, needed = _fitting(rows, at, at + apart)
-        good = at[fitting := across & fitting]
-        yield np.stack([rows[1][good], rows[1][good + apart], needed[fitting]])
+        good = at[across & _fitting(rows, at, at + apart)]
+        yield rows[1][np.stack([good, good + apart])]
         apart += 1
 
 
@@ -263,8 +255,8 @@ def _batch(parts) -> Iterator[pa.RecordBatch]:
 
 
 def _pair_rows(parts: list[np.ndarray]) -> pa.RecordBatch:
-    columns, shared = np.unique(np.concatenate(parts, axis=1), axis=1, return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, shared)], ["pivot", "name", "needed", "shared"])
+    columns = np.unique(np.concatenate(parts, axis=1), axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["pivot", "name"])
 
 
 class Tree:
@@ -374,7 +366,7 @@ def _least_partner(size):
 
 
 def _may_link():
-    """`_fitting` for the columns of a row and of its `head`."""
+    """Whether a row and its `head` are not yet joined and share an element that counts for `_needed`."""
     n, d = THRESHOLD
     size, head = _sizes()
     left = F.least(size - F.floor(F.col("place") / _HALF), head - F.floor(F.col("head.place") / _HALF))
@@ -383,6 +375,7 @@ def _may_link():
 
 
 def _needed():
+    """Elements that a row and its `head`, if similar, share in the beginnings that `_may_link` admits."""
     n, d = THRESHOLD
     size, head = _sizes()
     return F.floor((n * (size + head) + (n + d - 1)) / (n + d)) - _least_partner(F.greatest(size, head)) + 1
@@ -410,7 +403,7 @@ def _across(rows: DataFrame) -> DataFrame:
     dealt = rows.repartition("element", "low", "high").sortWithinPartitions(
         "element", "low", "high", F.col("place") % F.lit(_HALF), "name"
     )
-    return _enough(dealt.mapInArrow(_cells, "pivot long, name long, needed long, shared long"))
+    return dealt.mapInArrow(_cells, "pivot long, name long").distinct()
 
 
 def links(entries: DataFrame, texts: DataFrame, shared) -> DataFrame:
