@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 import itertools
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +23,10 @@ from pyspark.sql import DataFrame
 
 from civiclake.llm.chunks import RunValues, byte_values, text_of
 
+#: Different pre-tokens whose ids a worker keeps, and their longest.
+KEPT_PIECES = 500_000
+KEPT_LENGTH = 48
+
 _ALL = (1 << 64) - 1
 _MIX = 0x9E3779B97F4A7C15
 
@@ -83,6 +87,22 @@ class PerfectHash:
         return self.values[place] if self.keys[place] == key else -1
 
 
+class PieceIds(dict):
+    """The ids of pre-tokens, kept for short ones and emptied when full: runs differ by a comma or a line end."""
+
+    def __init__(self, encode: Callable[[bytes], bytes]):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.encode(piece.encode())
+        if len(piece) <= KEPT_LENGTH:
+            if len(self) >= KEPT_PIECES:
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class Codec:
     """Encodes and decodes by a rank file: a line has a token in Base64 and its rank."""
 
@@ -105,41 +125,54 @@ class Codec:
             if token[:cut] in ranks and token[cut:] in ranks
         }
         self.pre_tokens = regex.compile(pattern).findall
+        self.pieces = PieceIds(self._piece)
         self.runs = RunValues(self._run)
 
-    def _piece(self, piece: str) -> bytes:
-        data = piece.encode()
+    def _piece(self, data: bytes) -> bytes:
         found = self.whole.find(data)
         return array("I", (self.rank_of[found],) if found >= 0 else self.merge(data)).tobytes()
 
     def _run(self, run: str) -> bytes:
-        return b"".join(map(self._piece, self.pre_tokens(run)))
+        return b"".join(map(self.pieces.__getitem__, self.pre_tokens(run)))
 
     def merge(self, data: bytes) -> list[int]:
-        """The tokens of one pre-token, from its single bytes up."""
-        size, pairs = len(data), self.pairs
-        ids = [self.bytes[b] for b in data]
+        """The tokens of one pre-token, from its single bytes up.
+
+        `pending` has the heap's entry of each place that may still merge with what follows it; other
+        entries of the place are out of date.
+        """
+        size, pair = len(data), self.pairs.get
+        single = self.bytes
+        ids = [single[b] for b in data]
         right, left = list(range(1, size + 1)), list(range(-1, size - 1))
-        heap = [
-            rank * size + at
-            for at in range(size - 1)
-            if (rank := pairs.get((ids[at] << 32) | ids[at + 1])) is not None
-        ]
-        heapq.heapify(heap)
+        pending = [-1] * size
+        heap = []
+        for at in range(size - 1):
+            if (rank := pair((ids[at] << 32) | ids[at + 1])) is not None:
+                pending[at] = entry = rank * size + at
+                heap.append(entry)
+        heapify(heap)
         while heap:
-            rank, at = divmod(heapq.heappop(heap), size)
-            after = right[at]
-            if ids[at] < 0 or after >= size or pairs.get((ids[at] << 32) | ids[after]) != rank:
+            entry = heappop(heap)
+            rank, at = divmod(entry, size)
+            if pending[at] != entry:
                 continue  # one of the two has merged with another meanwhile
-            ids[at], ids[after] = rank, -1
+            after = right[at]
             beyond = right[at] = right[after]
+            ids[at], ids[after] = rank, -1
+            pending[at] = pending[after] = -1
             if beyond < size:
                 left[beyond] = at
-                if (r := pairs.get((rank << 32) | ids[beyond])) is not None:
-                    heapq.heappush(heap, r * size + at)
+                if (r := pair((rank << 32) | ids[beyond])) is not None:
+                    pending[at] = entry = r * size + at
+                    heappush(heap, entry)
             before = left[at]
-            if before >= 0 and (r := pairs.get((ids[before] << 32) | rank)) is not None:
-                heapq.heappush(heap, r * size + before)
+            if before >= 0:
+                if (r := pair((ids[before] << 32) | rank)) is not None:
+                    pending[before] = entry = r * size + before
+                    heappush(heap, entry)
+                else:
+                    pending[before] = -1
         return [i for i in ids if i >= 0]
 
     def encode(self, text: str) -> bytes:

@@ -112,6 +112,22 @@ def test_op7_against_the_library(spark, tik):
         assert got[i].decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_a_pre_token_is_merged_once_in_runs_that_differ(tik, monkeypatch):
+    """What follows a word makes another run of it, but the word's ids are known; the worker keeps so many and no more."""
+    own = bpe.Codec(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    merged = []
+    merge = own.merge
+    monkeypatch.setattr(own, "merge", lambda data: merged.append(data) or merge(data))
+    text = "x xqzvkw xqzvkw, xqzvkw. xqzvkw; xqzvkw.\nxqzvkw"
+    for _ in range(2):
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == tik.encode_ordinary(text)
+    assert merged.count(b" xqzvkw") == 1 and merged.count(b"xqzvkw") == 1
+    monkeypatch.setattr(bpe, "KEPT_PIECES", 3)
+    for i in range(50):
+        assert own.decode(own.encode(f"a b{i}zq c{i}zq")) == f"a b{i}zq c{i}zq".encode()
+    assert len(own.pieces) <= 3
+
+
 def test_kept_runs_are_bounded():
     kept = RunValues(len, limit=3)
     assert kept.of("a b c d e f g") == [1, 2, 2, 2, 2, 2, 2] and len(kept) <= 3
