@@ -10,7 +10,10 @@ n - ceil(t n) + 1 elements.
    sets of each shared element and size band with those that come first in a few orders of all
    sets, and one more round compares all those that are still in different
    components, in cells of bounded size.
-2. Candidates of a pivot are stored in a prefix tree by the global order. The pivot descends it
+2. Each set has a sketch of at least twice as many bits as elements: the parity of the elements in
+   each place. An element that only one of two sets has changes one bit, so sketches that differ in
+   more bits than similar sets may differ in elements rule a candidate out before any text is fetched.
+3. Candidates of a pivot are stored in a prefix tree by the global order. The pivot descends it
    once, so sets with a common beginning share the overlap counted so far, and a subtree is left
    when the remaining lengths can no longer bring the overlap needed.
 
@@ -29,7 +32,8 @@ from pyspark.sql import functions as F
 
 from civiclake.llm.chunks import byte_values, words
 from civiclake.llm.components import components
-from civiclake.llm.grams import WORDS, Sequence, signed
+from civiclake.llm.grams import Sequence, signed, word_hashes
+from civiclake.operators.digests import bitmap_of, within
 from civiclake.sources.scratch import stage
 
 #: Places of the table of document counts that orders the elements; 4 bytes each.
@@ -54,14 +58,21 @@ def shingles(data: bytes | None, length: int = 5) -> np.ndarray:
     own = words(data.lower() if data else None)
     if not own:
         return np.empty(0, np.uint64)
-    sequence = Sequence(WORDS.of(own)[0])
-    return np.unique(sequence.grams(min(length, len(own))))
+    every = np.sort(Sequence(word_hashes(own)[0]).grams(min(length, len(own))))
+    return every[np.append(True, every[1:] != every[:-1])]
 
 
 def set_name(elements: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(elements.tobytes()) - (1 << 63)
 
 
+def sketch(elements: np.ndarray) -> np.ndarray:
+    """The parity of the elements in each place, as 64-bit integers; their number is a power of two."""
+    places = 1 << max(6, (2 * len(elements) - 1).bit_length())
+    odd = np.bincount((elements & np.uint64(places - 1)).astype(np.int64), minlength=places) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def overlap_needed(a, b):
     """The least common elements with which sets of these sizes are similar enough."""
     n, d = THRESHOLD
@@ -97,11 +108,11 @@ def ordered(elements: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return elements[np.lexsort((elements, counts[(elements % np.uint64(BUCKETS)).astype(np.int64)]))]
 
 
-_NAMED = "doc long, version long, n_shingles long, name long, slice int, counts binary"
+_NAMED = "doc long, version long, n_shingles long, name long, sketch array<long>, slice int, counts binary"
 
 
 def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per document with the name of its set, and at the end the task's documents per bucket."""
+    """A row per document with the name and sketch of its set, and at the end the task's documents per bucket."""
     counts = np.zeros(BUCKETS, np.uint64)
     waiting, size = [np.empty(0, np.uint64)], 0
 
@@ -110,11 +121,12 @@ def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.add(counts, np.bincount(buckets, minlength=BUCKETS).astype(np.uint64), out=counts)
 
     for batch in batches:
-        sizes, names = [], []
+        sizes, names, sketches = [], [], []
         for data in byte_values(batch.column("text")):
             own = shingles(data)
             sizes.append(len(own))
             names.append(set_name(own) if len(own) else None)
+            sketches.append(sketch(own) if len(own) else None)
             waiting.append(own)
             size += len(own)
             if size > 1 << 21:
@@ -127,15 +139,17 @@ def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch.column("version"),
                 pa.array(sizes, pa.int64()),
                 pa.array(names, pa.int64()),
+                pa.array(sketches, pa.list_(pa.int64())),
                 none.cast(pa.int32()),
                 none.cast(pa.binary()),
             ],
-            ["doc", "version", "n_shingles", "name", "slice", "counts"],
+            ["doc", "version", "n_shingles", "name", "sketch", "slice", "counts"],
         )
     add()
     slices = _slices(counts)
-    none = pa.nulls(slices.num_rows).cast(pa.int64())
-    yield pa.RecordBatch.from_arrays([none] * 4 + slices.columns, ["doc", "version", "n_shingles", "name", "slice", "counts"])
+    none = pa.nulls(slices.num_rows)
+    nulls = [none.cast(pa.int64())] * 4 + [none.cast(pa.list_(pa.int64()))]
+    yield pa.RecordBatch.from_arrays(nulls + slices.columns, ["doc", "version", "n_shingles", "name", "sketch", "slice", "counts"])
 
 
 def _prefixes(shared):
@@ -406,6 +420,24 @@ def _across(rows: DataFrame) -> DataFrame:
     return dealt.mapInArrow(_cells, "pivot long, name long").distinct()
 
 
+def _folded(own: str, other: str):
+    """The sketch `own` in the places of `other`, if that has half of them."""
+    half = (F.size(own) / 2).cast("int")
+    both = F.zip_with(F.slice(own, 1, half), F.slice(own, half + 1, half), lambda a, b: a.bitwiseXOR(b))
+    return F.when(F.size(own) > F.size(other), both).otherwise(F.col(own))
+
+
+def _not_apart(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs whose sketches do not differ in more bits than similar sets of their sizes may differ in elements."""
+    n, d = THRESHOLD
+    one = texts.select(F.col("name").alias("pivot"), F.col("n_shingles").alias("size"), F.col("sketch").alias("mine"))
+    both = pairs.join(one, "pivot").join(texts.select("name", "n_shingles", "sketch"), "name")
+    bits = F.zip_with(_folded("mine", "sketch"), _folded("sketch", "mine"), lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    apart = F.aggregate(bits, F.lit(0), lambda sum_, next_: sum_ + next_)  # null, if sizes are too different to say
+    sizes = F.col("size") + F.col("n_shingles")
+    return both.where(F.coalesce(apart, F.lit(0)) <= sizes - 2 * F.floor((n * sizes + (n + d - 1)) / (n + d))).select("pivot", "name")
+
+
 def links(entries: DataFrame, texts: DataFrame, shared) -> DataFrame:
     """Links `a`, `b` between set names that join all similar sets into the right components."""
     found = None
@@ -417,13 +449,15 @@ def links(entries: DataFrame, texts: DataFrame, shared) -> DataFrame:
             rows = entries.join(joined, F.col("name") == F.col("node"), "left").select(
                 *entries.columns, F.coalesce("hook", "name").alias("component")
             )
-        pairs = stage(_across(rows) if pivots is None else _with_pivots(rows, *pivots), "candidate-pairs")
+        pairs = stage(_not_apart(_across(rows) if pivots is None else _with_pivots(rows, *pivots), texts), "candidate-pairs")
         trees = pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / TREE).alias("trees"))
         members = pairs.join(trees, "pivot").select("pivot", F.pmod(F.xxhash64("name"), "trees").alias("tree"), F.lit(1).alias("role"), "name")
         heads = members.select("pivot", "tree", F.lit(0).alias("role"), F.col("pivot").alias("name")).distinct()
+        wanted = pairs.select(F.explode(F.array("pivot", "name")).alias("name")).distinct().select(F.xxhash64("name").alias("hash"))
+        read = within(texts.select("name", "text"), F.xxhash64("name"), bitmap_of(wanted, "hash"))
         checked = (
             members.union(heads)
-            .join(texts, "name")
+            .join(read, "name")
             .groupBy("pivot", "tree")
             .applyInArrow(_verify(shared), "a long, b long")
         )
@@ -443,7 +477,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     spark: SparkSession = docs.sparkSession
     source = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     both = stage(source.withColumn("version", F.xxhash64("text")).mapInArrow(_names, _NAMED), "set-names")
-    named = both.where("slice is null").drop("slice", "counts")
+    named = both.where("slice is null").drop("slice", "counts", "sketch")
     counts = document_counts(both)
     shared = spark.sparkContext.broadcast(counts)  # 4 * BUCKETS bytes
     with_key = source.where(F.col("doc").isNotNull() & F.col("text").isNotNull())
@@ -455,13 +489,17 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
         .mapInArrow(_sharing, _ENTRY),
         "shared-prefixes",
     )
-    first = F.min(F.struct("doc", "version"))
-    classes = named.where("doc is not null and name is not null").groupBy("name").agg(first.alias("f")).select("name", "f.doc", "f.version")
-    involved = entries.select("name").distinct().join(classes, "name")
+    sets = both.where("doc is not null and name is not null")
+    classes = sets.groupBy("name").agg(F.min("doc").alias("first"))
+    one = F.min(F.struct("doc", "version", "n_shingles", "sketch")).alias("one")
+    involved = stage(
+        sets.join(entries.select("name").distinct(), "name", "left_semi").groupBy("name").agg(one).select("name", "one.*"), "involved-sets"
+    )
     # A key may come with several texts, and a row repeatedly; copies are united before and after they move.
-    texts = with_key.withColumn("version", F.xxhash64("text")).join(involved, ["doc", "version"]).dropDuplicates(["doc", "version"])
-    joined = components(links(entries, stage(texts.select("name", "text"), "texts"), shared))
-    classes = classes.select("name", F.col("doc").alias("first"))
+    own = with_key.withColumn("version", F.xxhash64("text"))
+    own = within(own, F.xxhash64("doc", "version"), bitmap_of(involved.select(F.xxhash64("doc", "version").alias("hash")), "hash"))
+    texts = own.join(involved, ["doc", "version"]).dropDuplicates(["doc", "version"])
+    joined = components(links(entries, stage(texts.select("name", "n_shingles", "sketch", "text"), "texts"), shared))
     # A component is named after the smallest document of its sets.
     labels = classes.join(joined, F.col("name") == F.col("node"), "left").select(
         "name", F.coalesce("component", "name").alias("component"), "first"

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civiclake.llm.chunks import byte_values, words
-from civiclake.llm.grams import WORDS, Sequence, signed
+from civiclake.llm.grams import Sequence, signed, word_hashes
 from civiclake.sources.scratch import stage
 
 #: Words of a minimizer.
@@ -41,7 +41,7 @@ def parse_blocks(text: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray
     if len(text) < window:
         none = np.empty(0, np.int64)
         return none, none, none, none
-    first, second = WORDS.of(text)
+    first, second = word_hashes(text)
     anchors = Sequence(first).grams(ANCHOR)
     span = window - ANCHOR + 1
     at = np.lib.stride_tricks.sliding_window_view(anchors, span).argmin(axis=1) + np.arange(len(text) - window + 1)
@@ -81,7 +81,7 @@ def _boundary_windows(window: int):
             ):
                 if places:
                     at = _windows(np.array(places, np.int64))
-                    lanes = WORDS.of(words(data))
+                    lanes = word_hashes(words(data))
                     hashes.append(np.stack([Sequence(lane).stretch(at, at + window) for lane in lanes], axis=1))
                     starts.append(at)
                     rows.append(np.full(len(at), row))

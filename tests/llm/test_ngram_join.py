@@ -139,3 +139,36 @@ def test_few_shared_elements_make_no_candidate_of_a_pivot(spark):
     assert sorted(tuple(r) for r in ngram_join._across(rows).collect()) == [(1, 2), (3, 4)]  # the last round leaves none out
     for orders in ((None,), (1,)):
         assert [sorted(r) for r in ngram_join._with_pivots(rows, orders, 0.0).collect()] == [[3, 4]]
+
+
+def test_sets_that_share_rare_elements_but_are_apart_are_no_candidates(spark, monkeypatch):
+    """Each of 40 texts shares half of its elements with the text before; no text of such a pair has to be fetched."""
+    passages = [[f"p{i}x{j}" for j in range(40)] for i in range(40)]
+    rows = [(i, " ".join(passages[i] + passages[i - 1])) for i in range(40)]
+    rows += [(100 + i, rows[i][1] + " more") for i in range(3)]
+    counted = []
+
+    def counting(df, label):
+        done = stage(df, label)
+        if label == "candidate-pairs":
+            counted.append(done.count())
+        return done
+
+    stage = ngram_join.stage
+    monkeypatch.setattr(ngram_join, "stage", counting)
+    assert rows_of(ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+    assert sum(counted) <= 2 * 3
+
+
+@pytest.mark.parametrize("size", [5, 130, 300, 3000])
+def test_sketches_never_rule_out_similar_sets(spark, size):
+    """From far below to far above the threshold, by the definition."""
+    rng = np.random.default_rng(size)
+    base = np.unique(rng.integers(1, 1 << 62, size).astype(np.uint64))
+    sets = [base] + [np.unique(np.append(base[i:], rng.integers(1, 1 << 62, i).astype(np.uint64))) for i in range(0, size, max(1, size // 30))]
+    sets += [base[i:] for i in range(0, size // 2, max(1, size // 30))]  # some have half as many places
+    texts = spark.createDataFrame([(i, len(s), ngram_join.sketch(s).tolist()) for i, s in enumerate(sets)], "name long, n_shingles long, sketch array<long>")
+    pairs = spark.createDataFrame([(0, i) for i in range(1, len(sets))], "pivot long, name long")
+    kept = {r.name for r in ngram_join._not_apart(pairs, texts).collect()}
+    similar = {i for i, s in enumerate(sets) if i and 100 * len(np.intersect1d(base, s)) >= 75 * len(np.union1d(base, s))}
+    assert similar <= kept and len(kept) < len(similar) + 8
