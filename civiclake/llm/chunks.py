@@ -35,6 +35,26 @@ def text_of(data: bytes | None) -> str:
     return data.decode("utf-8", "replace") if data else ""
 
 
+_kept: dict = {}
+
+
+def kept(key: object, make: Callable[[], object]):
+    """What `make` builds, kept by the worker for later tasks of the same `key`.
+
+    Workers outlive operators, so what one of them kept would add to all that the next ones need: a worker
+    keeps one thing, and drops it before it makes another.
+    """
+    if _kept.get("key") != key:
+        drop_kept()
+        _kept.update(value=make(), key=key)
+    return _kept["value"]
+
+
+def drop_kept() -> None:
+    """For tasks that need much memory of their own and keep nothing."""
+    _kept.clear()
+
+
 class _Touching(Exception):
     """A blank of the text touches other white space."""
 

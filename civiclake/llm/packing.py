@@ -13,7 +13,6 @@ import os
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -22,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civiclake.llm.chunks import RunValues, byte_values, text_of
+from civiclake.llm.chunks import RunValues, byte_values, kept, text_of
 from civiclake.sources.scratch import stage
 
 #: Sequences a block fills, about.
@@ -67,9 +66,8 @@ class Ids:
         return b"".join(self.runs.of(text))
 
 
-@lru_cache(maxsize=2)
 def _ids(tokenizer: str, ranks: str | None, pattern: str | None) -> Ids:
-    return Ids(tokenizer, ranks, pattern)
+    return kept(("ids", tokenizer, ranks, pattern), lambda: Ids(tokenizer, ranks, pattern))
 
 
 def pieces(

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civiclake.llm.chunks import byte_values, words
+from civiclake.llm.chunks import byte_values, drop_kept, words
 from civiclake.llm.grams import Sequence, signed, word_hashes
 from civiclake.sources.scratch import stage
 
@@ -53,6 +53,7 @@ def parse_blocks(text: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray
 
 def _blocks(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         for batch in batches:
             found = [parse_blocks(words(data), window) for data in byte_values(batch.column("text"))]
             row = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
@@ -74,6 +75,7 @@ def _blocks(window: int):
 
 def _boundary_windows(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         for batch in batches:
             rows, starts, hashes = [], [], [np.empty((0, 2), np.uint64)]
             for row, (data, places) in enumerate(

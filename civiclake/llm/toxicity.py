@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civiclake.llm.chunks import byte_values, words
+from civiclake.llm.chunks import byte_values, drop_kept, kept, words
 from civiclake.operators.digests import bitmap_of, within
 from civiclake.sources.scratch import stage
 
@@ -71,12 +71,12 @@ def cue_hashes(word: bytes) -> list[int]:
 
 
 class _CueHashes(dict):
-    """The cues of the words a task has met, emptied when full."""
+    """The cues of the words a task has met, as the bytes of 64-bit integers, emptied when full."""
 
-    def __missing__(self, word: bytes) -> list[int]:
+    def __missing__(self, word: bytes) -> bytes:
         if len(self) >= 200_000:
             self.clear()
-        found = cue_hashes(word)
+        found = np.array(cue_hashes(word), np.int64).tobytes()
         if len(word) <= 64:
             self[word] = found
         return found
@@ -91,17 +91,19 @@ _COUNTERS = [f"n{fold}{label}" for fold in range(FOLDS) for label in (0, 1)]
 
 def _cue_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many documents of each part and label have a cue, summed over up to `HELD_CUES` cues."""
+    drop_kept()
     known, found, codes, held = _CueHashes(), [], [], 0
 
     def counts() -> pa.RecordBatch:
         hashes, inverse = np.unique(np.concatenate(found), return_inverse=True)
-        table = np.bincount(inverse * len(_COUNTERS) + np.repeat(codes, [len(f) for f in found]), minlength=len(hashes) * len(_COUNTERS))
-        return pa.RecordBatch.from_arrays([pa.array(hashes), *(pa.array(c) for c in table.reshape(len(hashes), -1).T.copy())], ["cue", *_COUNTERS])
+        code = np.repeat(np.array(codes, np.int8), [len(f) for f in found])
+        columns = [np.bincount(inverse[code == c], minlength=len(hashes)) for c in range(len(_COUNTERS))]
+        return pa.RecordBatch.from_arrays([pa.array(hashes), *map(pa.array, columns)], ["cue", *_COUNTERS])
 
     for batch in batches:
         for data, toxic, fold in zip(byte_values(batch.column("text")), batch.column("toxic").to_pylist(), batch.column("fold").to_pylist(), strict=True):
-            own = {cue for word in set(words(data.lower() if data else None)) for cue in known[word]}
-            found.append(np.fromiter(own, np.int64, len(own)))
+            own = np.unique(np.frombuffer(b"".join(map(known.__getitem__, set(words(data.lower() if data else None)))), np.int64))
+            found.append(own)
             codes.append(2 * fold + toxic)
             held += len(own)
             if held >= HELD_CUES:
@@ -386,6 +388,7 @@ def train(labelled: DataFrame) -> Field:
     odds = Odds(table["cue"].to_numpy(), np.column_stack([np.searchsorted(_EDGES, table[f"odds{i}"].to_numpy()) for i in range(1 + FOLDS)]).astype(np.uint8))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         own = [Lexicon(odds, fold + 1) for fold in range(FOLDS)]
         for batch in batches:
             found = [
@@ -440,15 +443,9 @@ def _portions(column: pa.Array, size: int = 2_000_000) -> Iterator[list[bytes |
         yield portion
 
 
-_worker: dict = {}
-
-
 def _lexicon(shared) -> tuple[Field, Lexicon]:
-    """The field and the words a worker has met, one field at a time."""
-    if _worker.get("id") != shared._path:
-        field = shared.value
-        _worker.update(id=shared._path, field=field, lexicon=Lexicon(field.odds))
-    return _worker["field"], _worker["lexicon"]
+    """The field and the words a worker has met."""
+    return kept(("lexicon", shared._path), lambda: (shared.value, Lexicon(shared.value.odds)))
 
 
 def score(docs: DataFrame, field: Field, *, key: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:

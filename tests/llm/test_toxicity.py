@@ -1,12 +1,18 @@
 from __future__ import annotations
 
+import gc
+import types
+import weakref
+from collections import Counter
 from itertools import product
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from civiclake.llm import queries, toxicity
+from civiclake.llm import chunks, packing, queries, toxicity
 
 SF = "/root/testdata/sf0.1"
 
@@ -129,3 +135,37 @@ def test_fitting_takes_different_whole_texts(spark, monkeypatch):
     got = toxicity.fitting_rows(spark.createDataFrame(rows, "text string, toxic long")).collect()
     assert sorted(r.toxic for r in got) == [0, 0, 0, 1] and len({r.text for r in got}) == 4
     assert {r.text for r in got} <= {text for text, _ in rows}
+
+
+def test_a_worker_keeps_one_operators_things():
+    """What another operator has kept is gone before a task gathers cues, fills a lexicon or loads a vocabulary."""
+
+    class Thing:
+        pass
+
+    def holds():
+        gc.collect()
+        return alive() is not None
+
+    for starts in (lambda: list(toxicity._cue_counts(iter([]))), lambda: chunks.kept("other", lambda: [holds()])):
+        alive = weakref.ref(chunks.kept("first", Thing))
+        assert chunks.kept("first", Thing) is alive() and holds()
+        assert starts() in ([], [False]) and not holds()
+    shared = types.SimpleNamespace(_path="a", value=types.SimpleNamespace(odds=toxicity.Odds(np.empty(0, np.int64), np.empty((0, 4), np.uint8))))
+    lexicon = weakref.ref(toxicity._lexicon(shared)[1])
+    path, ranks = (public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken"))
+    ids = weakref.ref(packing._ids(path, ranks, public_tokenizers.PATTERN))
+    gc.collect()
+    assert lexicon() is None and packing._ids(path, ranks, public_tokenizers.PATTERN) is ids()
+    toxicity._lexicon(shared)
+    gc.collect()
+    assert ids() is None
+
+
+def test_counts_of_cues_by_part_and_label():
+    rng = np.random.default_rng(8)
+    rows = [(" ".join(f"word{rng.integers(40)}" for _ in range(9)), int(rng.integers(2)), int(rng.integers(3))) for _ in range(50)] + [(None, 1, 0), ("", 0, 2)]
+    batch = pa.RecordBatch.from_pylist([{"text": t, "toxic": y, "fold": f} for t, y, f in rows])
+    (got,) = toxicity._cue_counts(iter([batch]))
+    plain = Counter((cue, f"n{f}{y}") for t, y, f in rows for cue in {c for w in (t or "").encode().split() for c in toxicity.cue_hashes(w)})
+    assert {(r["cue"], c): n for r in got.to_pylist() for c, n in r.items() if c != "cue" and n} == plain
