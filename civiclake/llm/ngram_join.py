@@ -27,10 +27,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from civiclake.llm.chunks import byte_values, words
+from civiclake.llm.chunks import byte_values, drop_kept, words
 from civiclake.llm.components import components
 from civiclake.llm.grams import Sequence, signed, word_hashes
 from civiclake.operators.digests import bitmap_of, within
@@ -113,6 +113,7 @@ _NAMED = "doc long, version long, n_shingles long, name long, sketch array<long>
 
 def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document with the name and sketch of its set, and at the end the task's documents per bucket."""
+    drop_kept()
     counts = np.zeros(BUCKETS, np.uint64)
     waiting, size = [np.empty(0, np.uint64)], 0
 
@@ -156,6 +157,7 @@ def _prefixes(shared):
     """Rows (element, name, place * 2**31 + size) for each element of the prefixes of a task's distinct sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         counts = shared.value
         n, d = THRESHOLD
         for batch in batches:
@@ -187,23 +189,34 @@ _ENTRY = "element long, name long, place long"
 
 
 def _sharing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by element, size and name: those with a set of fitting size beside them."""
-    n, d = THRESHOLD
-    held, given = None, True  # the last row so far, and whether it was passed on
+    """Of rows sorted by element, size and name: those with a set beside them that `_may_link` admits.
+
+    What a row has left from its place on must reach the least partner of the larger size. Of the larger sets the
+    next one asks for least; of the smaller ones that with most left will do.
+    """
+    held, given, most = None, True, 0  # the last row so far, whether it was passed on, and most left among its element's rows
     for batch in batches:
         rows = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)])
         if held is not None:
             rows = np.concatenate([held, rows], axis=1)
+        if not rows.shape[1]:
+            continue
         new = np.ones(rows.shape[1], bool)
         new[1:] = (np.diff(rows[0]) != 0) | (np.diff(rows[1]) != 0)
         rows = rows[:, new]  # copies of a set from different tasks
         size = rows[2] % _HALF
-        beside = (np.diff(rows[0]) == 0) & (size[:-1] * d >= n * size[1:])
-        keep = np.append(beside, False) | np.append(False, beside)
+        left, partner = size - rows[2] // _HALF, _least_size(size)
+        same = np.diff(rows[0]) == 0
+        group = np.cumsum(np.append(0, ~same))
+        upper = group * _HALF + left
+        if held is not None:
+            upper[0] = most
+        upper = np.maximum.accumulate(upper) - group * _HALF
+        keep = np.append(same & (left[:-1] >= partner[1:]), False) | np.append(False, same & (upper[:-1] >= partner[1:]))
         if held is not None and given:
             keep[0] = False
         given = bool(keep[-1]) or (rows.shape[1] == 1 and held is not None and given)
-        held = rows[:, -1:]
+        held, most = rows[:, -1:], int(upper[-1])
         yield _entries(rows[:, keep])
 
 
@@ -349,24 +362,24 @@ def _with_pivots(rows: DataFrame, orders: tuple[int | None, ...], shift: float)
     A pivot comes first among the sets of an element and size band, in an order of all sets or by the
     element's place in the set. The sets in which shared elements come early hold little besides, so
     they are the middle of a group of copies: its elements agree on few pivots, and most of the group is
-    similar to those. Pivots are found by partial aggregates.
+    similar to those. An element's rows move once, for all orders.
     """
     n, d = THRESHOLD
     logarithm = F.log(F.col("place") % F.lit(_HALF)) / F.lit(float(np.log(d / n)))
     rows = rows.withColumn("band", F.floor(logarithm + F.lit(shift)))
+    group = Window.partitionBy("element", "band")
     own = F.struct("name", "place", "component")
-    found = None
-    for seed in orders:
+    firsts = []
+    for order, seed in enumerate(orders):
         place = F.floor(F.col("place") / _HALF) if seed is None else F.lit(0)
-        heads = rows.groupBy("element", "band").agg(
-            F.min(F.struct(place.alias("place"), F.xxhash64("name", F.lit(seed or 0)).alias("rank"), own.alias("head"))).alias("first"),
-            F.count(F.lit(1)).alias("sets"),
-        )
-        heads = heads.where("sets > 1").select(F.col("element").alias("e"), F.col("band").alias("b"), "first.head")
-        both = rows.join(heads, (F.col("element") == F.col("e")) & (F.col("band") == F.col("b")))
-        pairs = _enough(both.where(_may_link()).select(F.col("head.name").alias("pivot"), "name", F.ceil(_needed() / WITH_PIVOT).alias("needed"), F.lit(1).alias("shared")))
-        found = pairs if found is None else found.union(pairs)
-    return found.distinct()
+        first = F.min(F.struct(place.alias("at"), F.xxhash64("name", F.lit(seed or 0)).alias("rank"), own.alias("head"))).over(group)
+        firsts.append(first.alias(f"first{order}"))
+    heads = [F.struct(F.lit(order).alias("order"), F.col(f"first{order}.head").alias("head")) for order in range(len(orders))]
+    both = rows.select("name", "place", "component", *firsts).select("name", "place", "component", F.explode(F.array(*heads)).alias("one"))
+    both = both.select("name", "place", "component", "one.*")
+    wanted = both.where(_may_link()).select("order", F.col("head.name").alias("pivot"), "name", F.ceil(_needed() / WITH_PIVOT).alias("needed"))
+    shared = wanted.groupBy("order", "pivot", "name", "needed").agg(F.count(F.lit(1)).alias("shared"))
+    return shared.where("shared >= needed").select("pivot", "name").distinct()
 
 
 def _sizes():
@@ -379,6 +392,12 @@ def _least_partner(size):
     return F.floor((n * size + (d - 1)) / d)
 
 
+def _least_size(size: np.ndarray) -> np.ndarray:
+    """`_least_partner` of numbers."""
+    n, d = THRESHOLD
+    return (n * size + (d - 1)) // d
+
+
 def _may_link():
     """Whether a row and its `head` are not yet joined and share an element that counts for `_needed`."""
     n, d = THRESHOLD
@@ -395,20 +414,18 @@ def _needed():
     return F.floor((n * (size + head) + (n + d - 1)) / (n + d)) - _least_partner(F.greatest(size, head)) + 1
 
 
-def _enough(pairs: DataFrame) -> DataFrame:
-    """`pivot`, `name` of the pairs (with `needed` and `shared` elements) that share enough elements."""
-    return pairs.groupBy("pivot", "name", "needed").agg(F.sum("shared").alias("shared")).where("shared >= needed").select("pivot", "name")
-
-
 def _across(rows: DataFrame) -> DataFrame:
     """`pivot`, `name`: all sets of an element that are in different components and may be similar.
 
     The sets of an element are dealt over parts of about `PART`; each pair of parts is a cell of its own.
     """
-    apart = rows.groupBy("element").agg(
-        F.min("component").alias("least"), F.max("component").alias("most"), F.ceil(F.count(F.lit(1)) / PART).alias("parts")
-    )
-    rows = rows.join(apart.where("least < most").select("element", "parts"), "element")
+    group = Window.partitionBy("element")
+    rows = rows.select(
+        "*",
+        F.min("component").over(group).alias("least"),
+        F.max("component").over(group).alias("most"),
+        F.ceil(F.count(F.lit(1)).over(group) / PART).alias("parts"),
+    ).where("least < most")
     rows = rows.withColumn("part", F.pmod(F.xxhash64("name"), "parts"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other")
     rows = rows.select("element", "name", "place", "component", "part", other).select(

@@ -4,6 +4,7 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from civiclake.llm import ngram_join, queries
@@ -172,3 +173,30 @@ def test_sketches_never_rule_out_similar_sets(spark, size):
     kept = {r.name for r in ngram_join._not_apart(pairs, texts).collect()}
     similar = {i for i, s in enumerate(sets) if i and 100 * len(np.intersect1d(base, s)) >= 75 * len(np.union1d(base, s))}
     assert similar <= kept and len(kept) < len(similar) + 8
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 1000])
+def test_rows_go_on_with_a_set_they_may_link_with(size):
+    """Whatever the batches: not size alone, but what is left from the shared element on."""
+    rng = np.random.default_rng(size)
+    rows = []
+    for element in range(300):
+        for _ in range(rng.integers(1, 6)):
+            n = int(rng.integers(1, 40))
+            rows.append((element, int(rng.integers(1 << 40)), int(rng.integers(n + (-3 * n // 4) + 1)), n))
+    rows.sort(key=lambda r: (r[0], r[3], r[1]))
+    wanted = [
+        a for a in rows
+        if any(b is not a and b[0] == a[0] and 4 * min(a[3] - a[2], b[3] - b[2]) >= 3 * max(a[3], b[3]) for b in rows[max(0, rows.index(a) - 6) : rows.index(a) + 7])
+    ]
+    twice = [r for r in rows for _ in range(1 + r[1] % 2)]  # copies of a set from different tasks
+    table = pa.table({"element": [r[0] for r in twice], "name": [r[1] for r in twice], "place": [(r[2] << 31) + r[3] for r in twice]})
+    got = [tuple(r.values()) for batch in ngram_join._sharing(iter(table.to_batches(max_chunksize=size))) for r in batch.to_pylist()]
+    assert got == [(e, name, (place << 31) + n) for e, name, place, n in wanted]
+
+
+def test_rows_of_an_element_move_once_a_round(spark):
+    rows = spark.createDataFrame([], "element long, name long, place long, component long")
+    pivots = ngram_join._with_pivots(rows, (None, 1), 0.5)._jdf.queryExecution().optimizedPlan().toString()
+    across = ngram_join._across(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in pivots + across and pivots.count("Window [") == across.count("Window [") == 1
